@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from marlstone.functions import vectors as V
 from marlstone.plans import neighbors
-from marlstone.plans.joins import attach
 from marlstone.plans.positions import with_position
 
 SEED = 42
@@ -192,29 +191,21 @@ def index_info(index: DataFrame, *, vec: str, cell: str, metric: str, kind: str)
     )
 
 
-def label_scores(df: DataFrame, *, id: str, vec: str, label: str) -> DataFrame:
-    """Cosine of every vector with every label's mean vector.
-
-    Means are summed per (label, position), so no vector group is collected.
-    """
+def label_centers(df: DataFrame, *, vec: str, label: str) -> DataFrame:
+    """Mean vector of every label, summed per (label, position) so no group is collected."""
     long = df.select(F.col(label).alias("label"), F.posexplode(vec).alias("at", "x"))
     means = long.groupBy("label", "at").agg(F.avg(F.col("x").cast("double")).alias("mean"))
-    centers = means.groupBy("label").agg(
+    return means.groupBy("label").agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("at", "mean"))), lambda s: s["mean"]
-        ).alias("center")
-    )
-    labels = attach(
-        df.select(id, vec).withColumn("__all", F.lit(1)),
-        centers.groupBy(F.lit(1).alias("__all")).agg(
-            F.array_sort(F.collect_list(F.struct("label", "center"))).alias("centers")
-        ),
-        ["__all"],
-        how="inner",
-    )
-    scored = labels.select(id, vec, F.explode("centers").alias("c"))
-    return scored.select(
-        id,
-        F.col("c.label").alias("label"),
-        V.cosine(F.col(vec), F.col("c.center")).alias("score"),
+        ).alias("vec")
     )
+
+
+def label_scores(
+    df: DataFrame, centers: DataFrame, *, id: str, vec: str, k: int = 5
+) -> DataFrame:
+    """The ``k`` labels whose centers (label, vec) are closest in cosine to each vector."""
+    return search(
+        centers, df, id="label", vec="vec", query_id=id, query_vec=vec, k=k, metric="cosine"
+    ).select(F.col("query_id").alias(id), F.col("id").alias("label"), "score")

@@ -3,11 +3,11 @@
 Scores never exist as rows: each task multiplies a block of base vectors with a
 block of query vectors and keeps ``k`` hits per query; a window merges the parts.
 
-* Few queries (bounded by ``BROADCAST_FLOATS``): the query matrix is broadcast and
-  the base table is scanned in place, without a shuffle.
-* Otherwise base rows go to blocks of bounded size and every query is sent to the
-  blocks it must visit: all of them for an exact search, those of its cells for an
-  approximate one. A cell that holds most rows is simply more blocks.
+* When one side is small (bounded by ``BROADCAST_FLOATS``) it is broadcast as a
+  matrix and the other side is scanned in place, without a shuffle.
+* Otherwise both sides are cut into shares of bounded size, and a task gets one base
+  share and one query share. Every pair of shares meets for an exact search, those of
+  the same cell for an approximate one; a cell that holds most rows is more shares.
 """
 
 from __future__ import annotations
@@ -16,12 +16,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marlstone.plans.durable import durable
+from marlstone.plans.joins import attach
+
 METRICS = ("ip", "l2", "cosine")
 BROADCAST_FLOATS = 8_000_000
 BLOCK_ROWS = 50_000
+QUERY_ROWS = 1_000_000
 PANEL_CELLS = 4_000_000
 # Scores are compared at this many decimals, finer than single precision resolves.
 DECIMALS = 9
@@ -85,7 +89,7 @@ def _hits(query_ids: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> pa.Reco
     )
 
 
-def _scan_with(query_ids, queries, k: int, metric: str):
+def _scan_base(query_ids, queries, k: int, metric: str):
     """Base batches against a broadcast query matrix, k running hits per query."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,6 +118,24 @@ def _scan_with(query_ids, queries, k: int, metric: str):
     return scan
 
 
+def _scan_queries(base_ids, base, k: int, metric: str):
+    """Query batches against a broadcast base matrix: each batch is complete at once."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, matrix = base_ids.value, base.value
+        for batch in batches:
+            if not batch.num_rows or not len(names):
+                continue
+            asked = batch.column("id").to_numpy(zero_copy_only=False)
+            vectors = _matrix(batch.column("vec"))
+            for panel in _panels(len(asked), len(names)):
+                found = _scores(vectors[panel], matrix, metric)
+                scores, picked = _best(found, np.broadcast_to(names, found.shape), k)
+                yield _hits(asked[panel], picked, scores)
+
+    return scan
+
+
 def _meet_blocks(k: int, metric: str):
     """Rows sorted by block, base rows first: hold one base block, stream its queries."""
 
@@ -163,35 +185,48 @@ def exact(
     *,
     broadcast_floats: int = BROADCAST_FLOATS,
     block_rows: int = BLOCK_ROWS,
+    query_rows: int = QUERY_ROWS,
 ) -> DataFrame:
     """``base(id, vec)`` against ``queries(id, vec)``: (query_id, id, score, rank)."""
-    size = queries.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("vec")), F.lit(0)).alias("floats")
-    ).first()
-    if size["floats"] <= broadcast_floats:
-        return _merge(_scan(base, queries, k, metric), k)
-    blocks = max(1, -(-base.count() // block_rows))
-    placed = base.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("long"))
-    visiting = queries.withColumn(
-        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
+    asked, asked_floats = _size(queries)
+    known, known_floats = _size(base)
+    if known_floats <= min(broadcast_floats, asked_floats):
+        return _merge(_scan(queries, base, _scan_queries, k, metric), k)
+    if asked_floats <= broadcast_floats:
+        return _merge(_scan(base, queries, _scan_base, k, metric), k)
+    sizes = {"shares": F.lit(-(-known // block_rows)), "parts": F.lit(-(-asked // query_rows))}
+    return _merge(
+        _meet(base.withColumns(sizes), queries.withColumns(sizes), F.lit(0), k, metric), k
     )
-    return _merge(_meet(placed, visiting, k, metric), k)
 
 
-def _scan(base: DataFrame, queries: DataFrame, k: int, metric: str) -> DataFrame:
-    held = queries.select("id", "vec").toArrow()
-    context = base.sparkSession.sparkContext
-    ids = context.broadcast(held.column("id").to_numpy())
-    matrix = context.broadcast(_matrix(held.column("vec")))
-    return base.select("id", "vec").mapInArrow(_scan_with(ids, matrix, k, metric), HITS)
+def _size(df: DataFrame) -> tuple[int, int]:
+    floats = F.coalesce(F.sum(F.size("vec")), F.lit(0))
+    return tuple(df.agg(F.count(F.lit(1)), floats).first())
+
+
+def _scan(scanned: DataFrame, held: DataFrame, scan, k: int, metric: str) -> DataFrame:
+    table = held.select("id", "vec").toArrow()
+    context = scanned.sparkSession.sparkContext
+    ids = context.broadcast(table.column("id").to_numpy())
+    matrix = context.broadcast(_matrix(table.column("vec")))
+    return scanned.select("id", "vec").mapInArrow(scan(ids, matrix, k, metric), HITS)
+
 
+def _meet(base: DataFrame, queries: DataFrame, cell: Column, k: int, metric: str) -> DataFrame:
+    """Bring shares together; both sides carry ``shares`` and ``parts`` of their cell."""
 
-def _meet(base: DataFrame, queries: DataFrame, k: int, metric: str) -> DataFrame:
-    columns = ["block", "side", "id", "vec"]
-    both = (
-        base.withColumn("side", F.lit(0))
-        .select(*columns)
-        .unionByName(queries.withColumn("side", F.lit(1)).select(*columns))
+    def spot(of: str) -> Column:
+        return F.pmod(F.xxhash64("id"), F.col(of)).cast("long")
+
+    def every(of: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(of).cast("long") - 1))
+
+    placed = base.withColumn("share", spot("shares")).withColumn("part", every("parts"))
+    visiting = queries.withColumn("part", spot("parts")).withColumn("share", every("shares"))
+    block = F.xxhash64(cell, "share", "part").alias("block")
+    both = placed.select(block, F.lit(0).alias("side"), "id", "vec").unionByName(
+        visiting.select(block, F.lit(1).alias("side"), "id", "vec")
     )
     together = both.repartition("block").sortWithinPartitions("block", "side")
     return together.mapInArrow(_meet_blocks(k, metric), HITS)
@@ -204,21 +239,27 @@ def within_cells(
     metric: str,
     *,
     block_rows: int = BLOCK_ROWS,
+    query_rows: int = QUERY_ROWS,
 ) -> DataFrame:
     """As ``exact`` but each query only visits its cells: both sides carry ``cell``.
 
     A row may stand in several cells; a pair met twice counts once.
     """
-    shares = base.groupBy("cell").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("shares")
+
+    def shares(df: DataFrame, rows: int, name: str) -> DataFrame:
+        return df.groupBy("cell").agg(
+            F.ceil(F.count(F.lit(1)) / F.lit(rows)).cast("long").alias(name)
+        )
+
+    sizes = durable(
+        shares(base, block_rows, "shares").join(shares(queries, query_rows, "parts"), "cell")
     )
-    spot = F.pmod(F.xxhash64("id"), F.col("shares")).cast("int")
-    placed = base.join(shares, "cell").withColumn("block", F.xxhash64("cell", spot))
-    visiting = (
-        queries.join(shares, "cell")
-        .withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
-        .withColumn("block", F.xxhash64("cell", "share"))
+    hits = _meet(
+        attach(base, sizes, ["cell"], how="inner"),
+        attach(queries, sizes, ["cell"], how="inner"),
+        F.col("cell"),
+        k,
+        metric,
     )
-    hits = _meet(placed, visiting, k, metric)
     once = hits.groupBy("query_id", "id").agg(F.max("score").alias("score"))
     return _merge(once, k)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 from typing import NamedTuple
 
-MODULES = ("tables",)
+MODULES = ("tables", "similarity", "texts")
 
 
 class Registered(NamedTuple):
