@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 from typing import NamedTuple
 
-MODULES = ("tables", "similarity", "texts", "evaluation")
+MODULES = ("tables", "similarity", "texts", "evaluation", "learning")
 
 
 class Registered(NamedTuple):
