@@ -18,6 +18,7 @@ STOP_WORDS = (
 WHITE = r"[\t-\r\x1c-\x20\x{85}\p{Z}]"
 
 WORD_RUN = r"[\p{L}\p{N}_]+"
+WORD = r"(?<![\p{L}\p{N}_])[a-z]{3,}+(?![\p{L}\p{N}_])"
 
 
 def strip(text: Column) -> Column:
@@ -28,11 +29,10 @@ def strip(text: Column) -> Column:
 def words(text: Column, *, keep_stop_words: bool = False) -> Column:
     """Lower-case words of three or more ASCII letters, in text order.
 
-    Runs of letters, digits and underscores are taken whole first, so ``größe`` or
+    A word must be a whole run of letters, digits and underscores, so ``größe`` or
     ``abc_1`` yields no fragment.
     """
-    runs = F.regexp_extract_all(F.lower(text), F.lit(WORD_RUN), F.lit(0))
-    found = F.filter(runs, lambda w: w.rlike("^[a-z]{3,}$"))
+    found = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
     if keep_stop_words:
         return found
     return F.filter(found, lambda w: ~w.isin(STOP_WORDS))

@@ -35,8 +35,10 @@ def describe_numeric(
         F.max("value").alias("max"),
     )
     if _widest(df, names) <= exact_values:
-        quartiles = long.groupBy("column_name").agg(
-            *[F.percentile("value", q).alias(f"p{int(q * 100)}") for q in QUARTILES]
+        cut = F.percentile("value", F.lit(list(QUARTILES))).alias("cut")
+        quartiles = long.groupBy("column_name").agg(cut).select(
+            "column_name",
+            *[F.get("cut", F.lit(i)).alias(f"p{int(q * 100)}") for i, q in enumerate(QUARTILES)],
         )
     else:
         quartiles = _sorted_quartiles(long.where(F.col("value").isNotNull()))

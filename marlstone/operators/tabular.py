@@ -73,7 +73,7 @@ def _estimator(task: str, algorithm: str, rows: int, classes: int, trees: int, d
         if algorithm == "logistic":
             # An L2 weight of one per row: the penalty is spread over the mean loss.
             return LogisticRegression(
-                **label, maxIter=1000, regParam=1.0 / max(rows, 1), standardization=False
+                **label, maxIter=1000, tol=1e-4, regParam=1.0 / max(rows, 1), standardization=False
             )
         if algorithm == "gradient_boosting":
             binary = GBTClassifier(**label, **boosted)
@@ -131,7 +131,9 @@ def train(
 ) -> tuple[TabularModel, DataFrame]:
     """Fit on the hash-split training rows; also the predictions on the held-out ones."""
     names = [c for c in feature_names(df, target=target, features=features) if c != key or features]
-    parts = split(df, key=key, train_ratio=train_ratio, seed=SEED)
+    # Fitting passes over its input many times; the narrow table is computed once.
+    narrow = df.select(*dict.fromkeys([key, target, *names]))
+    parts = durable(split(narrow, key=key, train_ratio=train_ratio, seed=SEED))
     model = fit(
         parts.where("split = 'train'"),
         target=target,

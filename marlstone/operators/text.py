@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.functions import arrays, text as T
+from marlstone.plans.durable import durable
 from marlstone.plans.joins import attach
 
 # Patterns of the rule-based entities, read alike by Java, Python and RE2.
@@ -177,8 +178,6 @@ def unigram_model(df: DataFrame, *, text_col: str) -> tuple[DataFrame, int, int]
     counts = rows.groupBy(F.col("w.token").alias("token")).agg(
         F.sum(-F.col("w.order")).alias("count")
     )
-    from marlstone.plans.durable import durable
-
     known = durable(counts)
     total, distinct = known.agg(F.sum("count"), F.count(F.lit(1))).first()
     return known, total or 0, distinct
@@ -234,8 +233,11 @@ class Embedder:
 def classify(train: DataFrame, df: DataFrame, *, text_col: str, label: str, key: str) -> DataFrame:
     """Fit a linear classifier on labelled texts and score a table."""
     embedder = Embedder.fit(train, text_col=text_col)
+    known = durable(
+        embedder.features(train).select(F.col(label).cast("double").alias(label), "features")
+    )
     model = LogisticRegression(labelCol=label, featuresCol="features", regParam=0.01, maxIter=50).fit(
-        embedder.features(train.withColumn(label, F.col(label).cast("double")))
+        known
     )
     scored = model.transform(embedder.features(df))
     return scored.select(
@@ -291,7 +293,7 @@ def zero_shot(
     from marlstone.operators.vectors import search
 
     model = embedder or Embedder.fit(df, text_col=text_col)
-    names = labels.select("label_id", "label", "description")
+    names = durable(labels.select("label_id", "label", "description"))
     scored = search(
         model.embed(names, text_col="description"),
         model.embed(df.select(key, text_col)),

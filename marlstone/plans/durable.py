@@ -28,9 +28,15 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and continue from the written copy."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to a table in the shared folder and continue from it.
+
+    Unlike a checkpointed plan, the written table is columnar and tells the planner its
+    size, so later joins are planned on facts.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -97,7 +97,7 @@ def _scan_base(query_ids, queries, k: int, metric: str):
         best_scores = np.zeros((len(all_ids), 0))
         best_ids = np.zeros((len(all_ids), 0), dtype=np.int64)
         for batch in batches:
-            if not batch.num_rows:
+            if not batch.num_rows or not len(all_ids):
                 continue
             ids = batch.column("id").to_numpy(zero_copy_only=False)
             base = _matrix(batch.column("vec"))
@@ -201,8 +201,10 @@ def exact(
 
 
 def _size(df: DataFrame) -> tuple[int, int]:
-    floats = F.coalesce(F.sum(F.size("vec")), F.lit(0))
-    return tuple(df.agg(F.count(F.lit(1)), floats).first())
+    """Rows and floats; all vectors are of one length, so none but the first is computed."""
+    rows = df.count()
+    first = df.select(F.size("vec")).first()
+    return rows, rows * first[0] if first else 0
 
 
 def _scan(scanned: DataFrame, held: DataFrame, scan, k: int, metric: str) -> DataFrame:

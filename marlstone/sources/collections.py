@@ -198,25 +198,30 @@ class CollectionStore:
 
     def _mark(self, name: str, metadata: dict | None, deleted: bool) -> int:
         seq = self._next()
-        row = self.spark.createDataFrame([(name, metadata or {}, deleted, seq)], self.REGISTRY)
+        row = self.spark.createDataFrame([(name, metadata, deleted, seq)], self.REGISTRY)
         row.write.mode("append").parquet(f"{self.root}/registry")
         return seq
 
     def registry(self) -> DataFrame:
         """Live collections and the sequence number they start at."""
-        latest = self._log().groupBy("collection").agg(
-            F.max_by("metadata", "seq").alias("metadata"),
-            F.max_by("deleted", "seq").alias("deleted"),
-            F.max(F.when(F.col("deleted"), F.col("seq"))).alias("since"),
+        log = self._log()
+        cleared = log.groupBy("collection").agg(
+            F.coalesce(F.max(F.when(F.col("deleted"), F.col("seq"))), F.lit(0)).alias("since")
         )
-        return latest.where(~F.col("deleted")).select(
-            "collection", "metadata", F.coalesce("since", F.lit(0)).alias("since")
+        # The first metadata after the last deletion stays; additions carry none.
+        given = F.when(F.col("metadata").isNotNull(), F.col("seq"))
+        return (
+            log.join(cleared, "collection")
+            .where("seq > since")
+            .groupBy("collection", "since")
+            .agg(F.min_by("metadata", given).alias("metadata"))
+            .select("collection", "metadata", "since")
         )
 
     def create(self, name: str, metadata: dict | None = None) -> None:
         """Get or create: an existing collection keeps its metadata."""
         if not self.registry().where(F.col("collection") == name).take(1):
-            self._mark(name, metadata, deleted=False)
+            self._mark(name, metadata or {}, deleted=False)
 
     def delete(self, name: str) -> None:
         self._mark(name, None, deleted=True)
@@ -251,7 +256,7 @@ class CollectionStore:
             F.lit(self._next()).cast("long").alias("seq"),
             F.lit(name).alias("collection"),
         )
-        # The mark is written after the rows, so a failed write leaves no sequence behind.
+        # The mark follows the rows, so a failed write does not use up its number.
         rows.write.mode("append").partitionBy("collection").parquet(f"{self.root}/documents")
         self._mark(name, None, deleted=False)
         return self.documents().where(F.col("collection") == name).count()

@@ -42,6 +42,18 @@ def load_dataset(
     return df
 
 
+def spread(df: DataFrame, *, max_bytes: int = 1 << 30) -> DataFrame:
+    """A small table over all cores, for work that is heavy per row.
+
+    One row group is one task, however heavy its rows. Tables above ``max_bytes`` have
+    splits enough and stay as they are: they are never shuffled for this.
+    """
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) > max_bytes:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def load_csv(spark: SparkSession, path: str, *, schema=None) -> DataFrame:
     """A CSV table with a header row; types are inferred when no schema is given."""
     return load_dataset(spark, path, fmt="csv", schema=schema)
@@ -140,9 +152,11 @@ def publish(
     writer = df.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if fmt == "csv":
+        writer = writer.option("header", True)
     writer.save(path)
-    written = df.sparkSession.read.format(fmt).schema(df.schema).load(path).select(*df.columns)
-    return manifest(written)
+    written = load_dataset(df.sparkSession, path, fmt=fmt, schema=df.schema)
+    return manifest(written.select(*df.columns))
 
 
 def manifest(df: DataFrame) -> DataFrame:

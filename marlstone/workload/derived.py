@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.workload.registry import table
+from marlstone.workload.registry import table, texts
 
 # SQL common table expressions, named as the functions below.
 SERIES_SQL = """
@@ -126,7 +126,7 @@ def cycle_edges(spark: SparkSession, folder: str) -> DataFrame:
 
 def pairs(spark: SparkSession, folder: str) -> DataFrame:
     """Each turn next to the one after it; turns are numbered without gaps."""
-    turns = table(spark, folder, "conversations")
+    turns = texts(spark, folder, "conversations")
     following = turns.select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("reference")
     )

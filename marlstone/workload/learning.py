@@ -12,12 +12,12 @@ from marlstone.plans.durable import scratch_path
 from marlstone.streaming import streams
 from marlstone.workload import derived
 from marlstone.workload.evaluation import LATEST_SQL
-from marlstone.workload.registry import query, table
+from marlstone.workload.registry import query, table, texts
 
 
 def _document_table(spark, folder):
     """Labelled documents with plain numeric features."""
-    docs = table(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id")
+    docs = texts(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id")
     runs = F.regexp_extract_all(F.lower("text"), F.lit(WORD_RUN), F.lit(0))
     counted = docs.withColumn(
         "s",

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marlstone.sources.datasets import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -26,3 +28,8 @@ def query(name: str, sql: str | None = None):
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of texts, spread over the cores when it is small."""
+    return spread(table(spark, folder, name))

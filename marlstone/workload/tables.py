@@ -9,7 +9,7 @@ from marlstone.plans.durable import scratch_path
 from marlstone.sources import datasets
 from marlstone.workload import derived
 from marlstone.workload.derived import SERIES_SQL
-from marlstone.workload.registry import query, table
+from marlstone.workload.registry import query, table, texts
 
 SERIES = {"series": ["series_id"], "order_by": ["ts", "event_id"], "value": "value"}
 
@@ -191,7 +191,7 @@ STRIP_SQL = r"regexp_replace({0}, '^[\t-\r\x1c-\x20\x{{85}}\p{{Z}}]+|[\t-\r\x1c-
     """,
 )
 def text_blocks(spark, folder):
-    return prep.text_blocks(table(spark, folder, "documents"), key="doc_id", text_col="text")
+    return prep.text_blocks(texts(spark, folder, "documents"), key="doc_id", text_col="text")
 
 
 @query(

@@ -13,7 +13,7 @@ from marlstone.functions.code import (
 )
 from marlstone.functions.text import STOP_WORDS, WHITE
 from marlstone.operators import code, text
-from marlstone.workload.registry import query, table
+from marlstone.workload.registry import query, table, texts
 
 _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
 _WORDS = r"list_filter(regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}_]+'), lambda w: regexp_full_match(w, '[a-z]{{3,}}'))"
@@ -41,7 +41,7 @@ def literal(pattern: str) -> str:
     """,
 )
 def keywords(spark, folder):
-    return text.keywords(table(spark, folder, "documents"), key="doc_id", text_col="text")
+    return text.keywords(texts(spark, folder, "documents"), key="doc_id", text_col="text")
 
 
 @query(
@@ -54,7 +54,7 @@ def keywords(spark, folder):
     """,
 )
 def keywords_by_lang(spark, folder):
-    return text.keywords_by(table(spark, folder, "documents"), by=["lang"], text_col="text", k=20)
+    return text.keywords_by(texts(spark, folder, "documents"), by=["lang"], text_col="text", k=20)
 
 
 @query(
@@ -69,7 +69,7 @@ def keywords_by_lang(spark, folder):
     """,
 )
 def entity_counts(spark, folder):
-    return text.entity_counts(table(spark, folder, "documents"), key="doc_id", text_col="text")
+    return text.entity_counts(texts(spark, folder, "documents"), key="doc_id", text_col="text")
 
 
 _SPANS = " UNION ALL ".join(
@@ -88,7 +88,7 @@ _SPANS = " UNION ALL ".join(
 
 @query("entities", _SPANS)
 def entities(spark, folder):
-    return text.entities(table(spark, folder, "documents"), key="doc_id", text_col="text")
+    return text.entities(texts(spark, folder, "documents"), key="doc_id", text_col="text")
 
 
 # A lexicon read off the labelled texts: a word leans to where it is over-represented.
@@ -107,7 +107,7 @@ lexicon AS (
 
 
 def _lexicon(spark, folder):
-    labelled = table(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id")
+    labelled = texts(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id")
     clean, bad = labelled.agg(
         F.count_if(F.col("toxic") == 0), F.count_if(F.col("toxic") == 1)
     ).first()
@@ -139,7 +139,7 @@ def _lexicon(spark, folder):
 )
 def polarity(spark, folder):
     scored = text.polarity(
-        table(spark, folder, "documents"), _lexicon(spark, folder), key="doc_id", text_col="text"
+        texts(spark, folder, "documents"), _lexicon(spark, folder), key="doc_id", text_col="text"
     )
     return scored.withColumn("score", F.round("score", 6))
 
@@ -178,7 +178,7 @@ def stripped(column: str) -> str:
     """,
 )
 def extractive_summary(spark, folder):
-    return text.summarize(table(spark, folder, "documents"), key="doc_id", text_col="text")
+    return text.summarize(texts(spark, folder, "documents"), key="doc_id", text_col="text")
 
 
 @query(
@@ -194,9 +194,9 @@ def extractive_summary(spark, folder):
     """,
 )
 def perplexity_unigram(spark, folder):
-    model = text.unigram_model(table(spark, folder, "documents"), text_col="text")
+    model = text.unigram_model(texts(spark, folder, "documents"), text_col="text")
     scored = text.perplexity(
-        model, table(spark, folder, "benchmark"), key="item_id", text_col="text"
+        model, texts(spark, folder, "benchmark"), key="item_id", text_col="text"
     )
     return scored.withColumn("perplexity", F.round("perplexity", 4))
 
@@ -208,7 +208,7 @@ def perplexity_unigram(spark, folder):
 )
 def embed_documents(spark, folder):
     """Dimension and length of every text's vector; the vectors themselves are lexical."""
-    docs = table(spark, folder, "documents")
+    docs = texts(spark, folder, "documents")
     embedded = text.Embedder.fit(docs, text_col="text", dim=256).embed(docs)
     squares = F.aggregate(
         "embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")
@@ -221,8 +221,8 @@ def embed_documents(spark, folder):
 @query("semantic_search")
 def semantic_search(spark, folder):
     found = text.semantic_search(
-        table(spark, folder, "benchmark"),
-        table(spark, folder, "documents"),
+        texts(spark, folder, "benchmark"),
+        texts(spark, folder, "documents"),
         key="doc_id",
         text_col="text",
         query_id="item_id",
@@ -233,7 +233,7 @@ def semantic_search(spark, folder):
 
 @query("classify_docs")
 def classify_docs(spark, folder):
-    docs = table(spark, folder, "documents")
+    docs = texts(spark, folder, "documents")
     train = docs.join(table(spark, folder, "labels").select("doc_id", "quality"), "doc_id")
     return text.classify(train, docs, text_col="text", label="quality", key="doc_id")
 
@@ -241,7 +241,7 @@ def classify_docs(spark, folder):
 @query("zero_shot")
 def zero_shot(spark, folder):
     """Languages as candidate labels, each described by its frequent words."""
-    docs = table(spark, folder, "documents")
+    docs = texts(spark, folder, "documents")
     described = (
         text.keywords_by(docs, by=["lang"], text_col="text", k=200)
         .groupBy(F.col("lang").alias("label"))
@@ -283,7 +283,7 @@ def _language_sql(source: str, key: str, column: str) -> str:
 def code_language(spark, folder):
     parts = []
     for source, key, column in (("documents", "doc_id", "text"), ("pages", "page_id", "html")):
-        rows = table(spark, folder, source).select(
+        rows = texts(spark, folder, source).select(
             F.lit(source).alias("source"), F.col(key).alias("id"), F.col(column).alias("code")
         )
         parts.append(code.language(rows, code_col="code").drop("code"))
@@ -321,7 +321,7 @@ def snippets(spark, folder):
     go = F.concat(
         F.lit("package main"), nl, F.lit("func "), name, F.lit("() { x := "), size.cast("string"), F.lit(" }")
     )
-    return table(spark, folder, "part").select(
+    return texts(spark, folder, "part").select(
         F.col("p_partkey").alias("id"),
         language.alias("language"),
         F.when(size < 20, python).when(size < 40, script).otherwise(go).alias("code"),
