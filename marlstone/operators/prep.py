@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.functions.text import strip
+from marlstone.plans.joins import attach
 from marlstone.plans.positions import hash_unit
 
 UNIT = 1 << 32
@@ -88,11 +89,14 @@ def assemble_prompts(
             "\n",
         ).alias("body")
     )
-    final = df.groupBy(conversation).agg(F.max(part).alias("last_part"))
-    return parts.join(final, conversation).select(
+    # Only conversations of several parts need to know their last one; they are few.
+    long = df.where(F.col(turn) >= turns_per_part)
+    last = long.groupBy(conversation).agg(F.max(part).alias("last_part"))
+    closing = F.col("part") == F.coalesce("last_part", F.lit(0))
+    return attach(parts, last, [conversation]).select(
         conversation,
         "part",
-        F.when(F.col("part") == F.col("last_part"), F.concat("body", F.lit("\nassistant:")))
+        F.when(closing, F.concat("body", F.lit("\nassistant:")))
         .otherwise(F.col("body"))
         .alias("prompt"),
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from marlstone.functions import vectors as V
 from marlstone.plans import neighbors
+from marlstone.plans.durable import durable
 from marlstone.plans.positions import with_position
 
 SEED = 42
@@ -38,36 +39,43 @@ def add_vectors(
 
     The first free position is one past the largest used one, a bounded fact.
     """
-    start = 0
-    if index is not None:
-        start = (index.agg(F.max("pos")).first()[0] or -1) + 1 if index.take(1) else 0
-    wrong = F.raise_error(F.lit(f"expected vectors of length {dim}")).cast("array<float>")
-    checked = batch.withColumn(vec, F.when(F.size(vec) == dim, F.col(vec)).otherwise(wrong))
-    placed = with_position(checked, order_by=order_by, name="pos").withColumn(
-        "pos", F.col("pos") + F.lit(start)
+    last = index.agg(F.max("pos")).first()[0] if index is not None else None
+    placed = at_positions(
+        batch, order_by=order_by, vec=vec, dim=dim, start=-1 if last is None else last
     )
     return placed if index is None else index.unionByName(placed)
 
 
+def at_positions(
+    batch: DataFrame, *, order_by: Sequence[str], vec: str, dim: int, start: int
+) -> DataFrame:
+    """Number a batch from ``start + 1`` on, refusing vectors of another length."""
+    wrong = F.raise_error(F.lit(f"expected vectors of length {dim}")).cast("array<float>")
+    checked = batch.withColumn(vec, F.when(F.size(vec) == dim, F.col(vec)).otherwise(wrong))
+    placed = with_position(checked, order_by=order_by, name="pos")
+    return placed.withColumn("pos", F.col("pos") + F.lit(start + 1))
+
+
 def nlist_for(dim: int) -> int:
     """Number of inverted lists for vectors of length ``dim``."""
     return min(100, max(1, dim // 4))
 
 
-def train_cells(base: DataFrame, *, vec: str, nlist: int | None = None, seed: int = SEED) -> KMeansModel:
-    """A coarse quantizer over the whole table."""
+def train_cells(
+    base: DataFrame, *, vec: str, nlist: int | None = None, seed: int = SEED
+) -> list[list[float]]:
+    """Centroids of a coarse quantizer over the whole table, at most 100 by default."""
     if nlist is None:
         nlist = nlist_for(len(base.select(vec).first()[0]))
     features = base.select(array_to_vector(F.col(vec).cast("array<double>")).alias("features"))
-    return KMeans(k=nlist, seed=seed, maxIter=10).fit(features)
-
+    model = KMeans(k=nlist, seed=seed, maxIter=10).fit(durable(features))
+    return [[float(x) for x in center] for center in model.clusterCenters()]
 
-def assign_cells(df: DataFrame, model: KMeansModel, *, vec: str, nprobe: int = 1, name: str = "cell"):
-    """One row per vector and each of its ``nprobe`` nearest centroids.
 
-    The centroids (at most 100 by construction) travel as literals.
-    """
-    centers = [[float(x) for x in c] for c in model.clusterCenters()]
+def assign_cells(
+    df: DataFrame, centers: list[list[float]], *, vec: str, nprobe: int = 1, name: str = "cell"
+) -> DataFrame:
+    """One row per vector and each of its ``nprobe`` nearest centroids, which travel as literals."""
     literal = F.lit(centers).cast("array<array<double>>")
     nearest = F.slice(
         F.array_sort(
@@ -96,7 +104,7 @@ def search(
     metric: str = "ip",
     method: str = "exact",
     nprobe: int = 1,
-    model: KMeansModel | None = None,
+    centers: list[list[float]] | None = None,
     tables: int = 8,
     bucket_length: float = 0.5,
     carry: Sequence[str] = (),
@@ -119,7 +127,7 @@ def search(
     if method == "exact":
         hits = neighbors.exact(rows, asked, k, metric, **limits)
     elif method == "ivf":
-        cells = model or train_cells(rows, vec="vec")
+        cells = centers or train_cells(rows, vec="vec")
         hits = neighbors.within_cells(
             assign_cells(rows, cells, vec="vec"),
             assign_cells(asked, cells, vec="vec", nprobe=nprobe),

@@ -24,7 +24,7 @@ from marlstone.plans.joins import attach
 
 METRICS = ("ip", "l2", "cosine")
 BROADCAST_FLOATS = 8_000_000
-BLOCK_ROWS = 50_000
+BLOCK_ROWS = 200_000
 QUERY_ROWS = 1_000_000
 PANEL_CELLS = 4_000_000
 # Scores are compared at this many decimals, finer than single precision resolves.
@@ -193,7 +193,9 @@ def exact(
     if known_floats <= min(broadcast_floats, asked_floats):
         return _merge(_scan(queries, base, _scan_queries, k, metric), k)
     if asked_floats <= broadcast_floats:
-        return _merge(_scan(base, queries, _scan_base, k, metric), k)
+        # Each task keeps k hits per query, so tasks read many splits rather than one.
+        tasks = 4 * base.sparkSession.sparkContext.defaultParallelism
+        return _merge(_scan(base.coalesce(tasks), queries, _scan_base, k, metric), k)
     sizes = {"shares": F.lit(-(-known // block_rows)), "parts": F.lit(-(-asked // query_rows))}
     return _merge(
         _meet(base.withColumns(sizes), queries.withColumns(sizes), F.lit(0), k, metric), k

@@ -1,9 +1,6 @@
 """Document collections: batches, metadata filters, statistics and a Parquet store.
 
-A collection is rows ``(id, document, metadata map<string,string>, ...)``. The store
-is append-only: writes carry a sequence number, deleting a collection appends a mark,
-and reading takes what came after the last mark. Nothing is rewritten in place, so a
-lost executor or a repeated task cannot leave a half-updated table.
+A collection is rows ``(id, document, metadata map<string,string>, ...)``.
 """
 
 from __future__ import annotations
@@ -14,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.plans.joins import attach
+from marlstone.sources.logs import NamedLog
 
 
 def with_default_ids(batch: DataFrame, *, document: str, order_by: Sequence[str], id: str = "id"):
@@ -174,77 +171,31 @@ def _distinct(df: DataFrame, name: str) -> DataFrame:
 
 
 class CollectionStore:
-    """Collections below one folder, partitioned by collection."""
+    """Named collections below one folder."""
 
-    REGISTRY = "collection string, metadata map<string,string>, deleted boolean, seq long"
+    DOCUMENTS = "id string, document string, metadata map<string,string>, embedding array<float>"
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-
-    def _read(self, table: str, schema: str) -> DataFrame:
-        path = f"{self.root}/{table}"
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        files = hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not files.exists(hadoop):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
-
-    def _log(self) -> DataFrame:
-        return self._read("registry", self.REGISTRY)
-
-    def _next(self) -> int:
-        return (self._log().agg(F.max("seq")).first()[0] or 0) + 1
-
-    def _mark(self, name: str, metadata: dict | None, deleted: bool) -> int:
-        seq = self._next()
-        row = self.spark.createDataFrame([(name, metadata, deleted, seq)], self.REGISTRY)
-        row.write.mode("append").parquet(f"{self.root}/registry")
-        return seq
-
-    def registry(self) -> DataFrame:
-        """Live collections and the sequence number they start at."""
-        log = self._log()
-        cleared = log.groupBy("collection").agg(
-            F.coalesce(F.max(F.when(F.col("deleted"), F.col("seq"))), F.lit(0)).alias("since")
-        )
-        # The first metadata after the last deletion stays; additions carry none.
-        given = F.when(F.col("metadata").isNotNull(), F.col("seq"))
-        return (
-            log.join(cleared, "collection")
-            .where("seq > since")
-            .groupBy("collection", "since")
-            .agg(F.min_by("metadata", given).alias("metadata"))
-            .select("collection", "metadata", "since")
-        )
+        self.log = NamedLog(spark, root)
 
     def create(self, name: str, metadata: dict | None = None) -> None:
         """Get or create: an existing collection keeps its metadata."""
-        if not self.registry().where(F.col("collection") == name).take(1):
-            self._mark(name, metadata or {}, deleted=False)
+        self.log.open(name, metadata)
 
     def delete(self, name: str) -> None:
-        self._mark(name, None, deleted=True)
-
-    DOCUMENTS = (
-        "id string, document string, metadata map<string,string>, embedding array<float>, "
-        "seq long, collection string"
-    )
+        self.log.reset(name)
 
-    def documents(self) -> DataFrame:
-        """Live documents of all collections."""
-        log = self._read("documents", self.DOCUMENTS)
-        live = self.registry().select("collection", "since")
-        return attach(log, live, ["collection"], how="inner").where("seq > since").drop("since")
+    def documents(self, name: str | None = None) -> DataFrame:
+        """Live documents, of one collection or of all."""
+        rows = self.log.rows("documents", self.DOCUMENTS, name)
+        return rows.withColumnRenamed("name", "collection")
 
     def add(self, name: str, batch: DataFrame, *, order_by: Sequence[str] = ("id",)) -> int:
         """Append a batch to a collection, skipping ids it holds; the new total."""
         self.create(name)
-        held = self.documents().where(F.col("collection") == name)
         fresh = first_of_each(batch, id="id", order_by=order_by).join(
-            held.select("id"), "id", "left_anti"
+            self.documents(name).select("id"), "id", "left_anti"
         )
-        columns = {c: F.col(c) for c in batch.columns}
         blank = {
             "document": F.lit(""),
             "metadata": F.create_map().cast("map<string,string>"),
@@ -252,14 +203,11 @@ class CollectionStore:
         }
         rows = fresh.select(
             F.col("id").cast("string").alias("id"),
-            *[columns.get(c, v).alias(c) for c, v in blank.items()],
-            F.lit(self._next()).cast("long").alias("seq"),
-            F.lit(name).alias("collection"),
+            *[(F.col(c) if c in batch.columns else v).alias(c) for c, v in blank.items()],
         )
-        # The mark follows the rows, so a failed write does not use up its number.
-        rows.write.mode("append").partitionBy("collection").parquet(f"{self.root}/documents")
-        self._mark(name, None, deleted=False)
-        return self.documents().where(F.col("collection") == name).count()
+        self.log.append("documents", name, rows)
+        return self.documents(name).count()
 
     def list(self) -> DataFrame:
-        return counts(self.registry().select("collection", "metadata"), self.documents())
+        registry = self.log.live().select(F.col("name").alias("collection"), F.col("info").alias("metadata"))
+        return counts(registry, self.documents())

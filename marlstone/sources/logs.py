@@ -1,0 +1,79 @@
+"""Named, append-only tables below one folder.
+
+Writes carry a sequence number, resetting a name appends a mark, and reading takes what
+came after the last mark. Nothing is rewritten in place, so a lost executor or a repeated
+task cannot leave a half-updated table.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from marlstone.plans.joins import attach
+
+MARKS = "name string, info map<string,string>, reset boolean, seq long"
+
+
+class NamedLog:
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    def _read(self, table: str, schema: str) -> DataFrame:
+        path = f"{self.root}/{table}"
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(hadoop):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(path)
+
+    def _next(self) -> int:
+        return (self._read("marks", MARKS).agg(F.max("seq")).first()[0] or 0) + 1
+
+    def _mark(self, name: str, info: dict | None, reset: bool) -> None:
+        row = self.spark.createDataFrame([(name, info, reset, self._next())], MARKS)
+        row.write.mode("append").parquet(f"{self.root}/marks")
+
+    def live(self) -> DataFrame:
+        """Open names with their information and the sequence number they start after."""
+        marks = self._read("marks", MARKS)
+        cleared = marks.groupBy("name").agg(
+            F.coalesce(F.max(F.when(F.col("reset"), F.col("seq"))), F.lit(0)).alias("since")
+        )
+        # The first information after the last reset stays; appended rows carry none.
+        given = F.when(F.col("info").isNotNull(), F.col("seq"))
+        return (
+            marks.join(cleared, "name")
+            .where("seq > since")
+            .groupBy("name", "since")
+            .agg(F.min_by("info", given).alias("info"))
+            .select("name", "info", "since")
+        )
+
+    def info(self, name: str) -> dict | None:
+        """What the name was opened with; None when it is not open."""
+        found = self.live().where(F.col("name") == name).first()
+        return None if found is None else dict(found["info"] or {})
+
+    def open(self, name: str, info: dict | None = None) -> None:
+        """Get or create."""
+        if self.info(name) is None:
+            self._mark(name, info or {}, reset=False)
+
+    def reset(self, name: str) -> None:
+        self._mark(name, None, reset=True)
+
+    def append(self, table: str, name: str, rows: DataFrame) -> None:
+        numbered = rows.withColumns({"seq": F.lit(self._next()).cast("long"), "name": F.lit(name)})
+        # The mark follows the rows, so a failed write does not use up its number.
+        numbered.write.mode("append").partitionBy("name").parquet(f"{self.root}/{table}")
+        self._mark(name, None, reset=False)
+
+    def rows(self, table: str, schema: str, name: str | None = None) -> DataFrame:
+        """Rows written since the last reset, of one name (its folder only) or of all."""
+        log = self._read(table, f"{schema}, seq long, name string")
+        live = self.live().select("name", "since")
+        if name is not None:
+            log, live = (df.where(F.col("name") == name) for df in (log, live))
+        return attach(log, live, ["name"], how="inner").where("seq > since").drop("since")

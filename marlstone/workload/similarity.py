@@ -169,9 +169,9 @@ def index_add(spark, folder):
 )
 def index_roundtrip(spark, folder):
     rows = table(spark, folder, "embeddings").withColumn("pos", F.col("vec_id"))
-    model = vectors.train_cells(rows, vec="embedding")
+    centers = vectors.train_cells(rows, vec="embedding")
     path = scratch_path(spark, "index")
-    vectors.save_index(vectors.assign_cells(rows, model, vec="embedding"), path, cell="cell")
+    vectors.save_index(vectors.assign_cells(rows, centers, vec="embedding"), path, cell="cell")
     restored = vectors.load_index(spark, path)
     total = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double"))
     return restored.select("vec_id", "label", F.round(total, 6).alias("total"))

@@ -3,6 +3,7 @@ import math
 import pytest
 
 from marlstone.operators import graph, metrics
+from marlstone.sources.graphs import GraphStore
 
 PAIR = {"prediction": "p", "reference": "r"}
 
@@ -151,3 +152,21 @@ def test_nodes_by_name(spark):
 def test_degrees(spark, net):
     got = {r.id: (r.out_degree, r.in_degree) for r in graph.degrees(*net).collect()}
     assert got["a"] == (4, 3) and got["z"] == (0, 0)
+
+
+def test_graph_store(spark, tmp_path):
+    store = GraphStore(spark, str(tmp_path / "graphs"))
+    nodes = spark.createDataFrame(
+        [("a", "A", {"k": "1"}, 1), ("b", "B", {}, 2), ("a", "A2", {}, 3), ("c", "C", {}, 4)],
+        "id string, label string, attrs map<string,string>, at long",
+    )
+    assert store.add_nodes("g", nodes, order_by=["at"]) == 3
+    assert store.add_nodes("g", nodes.where("at = 2"), order_by=["at"]) == 3
+    edges = spark.createDataFrame([("a", "b", 1), ("a", "b", 2), ("b", "c", 3)], "src string, dst string, at long")
+    assert store.add_edges("g", edges, order_by=["at"]) == 3
+    assert {r.id: r.label for r in store.nodes("g").collect()} == {"a": "A2", "b": "B", "c": "C"}
+    pairs = spark.createDataFrame([(1, "a", "c")], "pair_id long, source string, target string")
+    found = graph.shortest_paths(store.nodes("g"), store.edges("g"), pairs, max_hops=5).first()
+    assert found.path == ["a", "b", "c"]
+    store.create("g")
+    assert (store.nodes("g").count(), store.edges("g").count()) == (0, 0)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from marlstone.functions import vectors as V
 from marlstone.operators import vectors
 from marlstone.sources import collections
+from marlstone.sources.indexes import IndexStore
 
 NAMES = {"id": "id", "vec": "vec", "query_id": "id"}
 
@@ -100,9 +101,9 @@ def test_cells_reach_most_neighbors(spark, clouds, limits):
 
 def test_all_cells_are_exact(spark, clouds):
     df = table(spark, clouds)
-    model = vectors.train_cells(df, vec="vec", nlist=4)
+    centers = vectors.train_cells(df, vec="vec", nlist=4)
     hits = vectors.search(
-        df, df, **NAMES, k=5, metric="ip", method="ivf", nprobe=4, model=model, block_rows=50
+        df, df, **NAMES, k=5, metric="ip", method="ivf", nprobe=4, centers=centers, block_rows=50
     )
     assert found(hits) == brute(clouds, clouds, 5, "ip")
 
@@ -182,7 +183,7 @@ def test_store(spark, tmp_path):
     assert store.add("a", rows, order_by=["document"]) == 2
     assert store.add("b", rows.limit(1)) == 1
     assert {r.collection: r.n for r in store.list().collect()} == {"a": 2, "b": 1}
-    assert {r.metadata["kind"] for r in store.registry().where("collection = 'a'").collect()} == {"first"}
+    assert {r.metadata["kind"] for r in store.list().where("collection = 'a'").collect()} == {"first"}
     store.delete("a")
     assert {r.collection: r.n for r in store.list().collect()} == {"b": 1}
     assert store.add("a", rows.where("id = '2'")) == 1
@@ -205,3 +206,23 @@ def test_default_ids_are_stable(spark):
         for b in (batch, batch.repartition(5))
     )
     assert first == second and len(set(first)) == 3
+
+
+@pytest.mark.parametrize("kind", ["Flat", "IVFFlat", "HNSW"])
+def test_index_store(spark, tmp_path, clouds, kind):
+    store = IndexStore(spark, str(tmp_path / "indexes"))
+    store.create("main", 8, kind=kind, metric="l2")
+    df = table(spark, clouds).withColumn("document", F.concat(F.lit("d"), "id"))
+    assert store.add("main", df.where("id < 200"), order_by=["id"]) == 200
+    assert store.add("main", df.where("id >= 200").drop("document"), order_by=["id"]) == len(clouds)
+    again = IndexStore(spark, str(tmp_path / "indexes"))
+    hits = again.search("main", df, query_id="id", k=1).collect()
+    assert all(r.id == r.query_id and r.score == 0 for r in hits) and len(hits) == len(clouds)
+    assert {r.document for r in hits if r.id in (3, 250)} == {"d3", ""}
+    lists = again.info("main").collect()
+    assert {r.total for r in lists} == {len(clouds)} and sum(r.in_list for r in lists) == len(clouds)
+    assert len(lists) == (2 if kind == "IVFFlat" else 1)
+    again.create("main", 8)
+    assert again.vectors("main").count() == 0
+    with pytest.raises(ValueError):
+        again.search("other", df, query_id="id")
