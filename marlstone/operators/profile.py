@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-EXACT_VALUES = 5_000_000
+EXACT_VALUES = 1_000_000
 QUARTILES = (0.25, 0.5, 0.75)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.functions.arrays import let
+from marlstone.plans.durable import durable
 from marlstone.plans.positions import GROUP_ROWS, with_position
 
 BLOCK = 2_000
@@ -61,6 +62,8 @@ def _suffix_sums(items: DataFrame, episode: str, last: int, block: int) -> DataF
     if last < block:
         carried = blocks.withColumn("carry", F.lit(0.0))
     else:
+        # Read twice, below and at the end: written once.
+        blocks = durable(blocks)
         state = F.struct(F.lit(0.0).alias("v"), F.lit(1.0).alias("w"))
         whole = F.aggregate(
             F.reverse("items"),

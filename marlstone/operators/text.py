@@ -136,28 +136,29 @@ def summarize(
         raise ValueError("need 0 <= min_length <= max_length")
     texts = df.select(key, text_col)
     spread = texts.select(key, F.posexplode(T.sentences(F.col(text_col))).alias("at", "sentence"))
-    lengths = spread.select(
-        key,
-        "at",
-        F.size(F.regexp_extract_all("sentence", F.lit(T.WORD_RUN), F.lit(0))).alias("length"),
-    )
     frequency = (
         word_rows(texts, key=[key], text_col=text_col, keep_stop_words=False)
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("df"))
     )
-    held = word_rows(spread, key=[key, "at"], text_col="sentence", keep_stop_words=False)
+    counted = arrays.ranked_counts(T.words(F.col("sentence")))
+    # Sentences without words stay, with one empty row.
+    held = spread.select(
+        key,
+        "at",
+        F.regexp_count("sentence", F.lit(T.WORD_RUN)).alias("length"),
+        F.explode_outer(counted).alias("w"),
+    ).select(key, "at", "length", F.col("w.token").alias("token"), (-F.col("w.order")).alias("n"))
+    mean = F.sum(F.col("df") * F.col("n")) / F.sum("n")
     scores = (
-        attach(held, frequency, ["token"], how="inner")
-        .groupBy(key, "at")
-        .agg((F.sum(F.col("df") * F.col("n")) / F.sum("n")).alias("score"))
+        attach(held, frequency, ["token"])
+        .groupBy(key, "at", "length")
+        .agg(F.coalesce(mean, F.lit(0.0)).alias("score"))
     )
     order = Window.partitionBy(key).orderBy(F.desc("score"), F.asc("at"))
     upto = F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, 0))
     kept = (
-        lengths.join(scores, [key, "at"], "left")
-        .withColumn("score", F.coalesce("score", F.lit(0.0)))
-        .withColumn("upto", upto)
+        scores.withColumn("upto", upto)
         .where(
             (F.col("upto") <= max_length) | (F.col("upto") - F.col("length") < min_length)
         )

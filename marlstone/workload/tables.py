@@ -138,7 +138,8 @@ _NUMERIC = ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumbe
     ),
 )
 def describe_numeric(spark, folder):
-    stats = profile.describe_numeric(table(spark, folder, "lineitem"), columns=_NUMERIC)
+    lines = datasets.spread(table(spark, folder, "lineitem").select(*_NUMERIC))
+    stats = profile.describe_numeric(lines, columns=_NUMERIC)
     return stats.withColumns({"mean": F.round("mean", 4), "std": F.round("std", 4)})
 
 

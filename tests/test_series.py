@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marlstone.operators import rl, state, timeseries
-from marlstone.plans import positions
+from marlstone.plans import joins, positions
 
 KEYS = {"series": ["k"], "order_by": ["t"], "value": "v"}
 
@@ -237,3 +237,14 @@ def test_notes_default_role(spark):
     notes = spark.createDataFrame([(5, None), (9, "critic")], "id long, role string")
     out = {r.id: (r.role, r["index"]) for r in state.index_notes(notes, order_by=["id"]).collect()}
     assert out == {5: ("planner", 0), 9: ("critic", 1)}
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("broadcast_rows", [100, 0])
+def test_attach_with_a_hot_key(spark, skewed, how, broadcast_rows):
+    df, rows = skewed
+    known = spark.createDataFrame([("hot", 1), ("a", 2), ("unused", 3)], "k string, n int")
+    out = joins.attach(df, known, ["k"], how=how, broadcast_rows=broadcast_rows, salts=5)
+    numbers = {"hot": 1, "a": 2}
+    want = sorted((k, t, numbers.get(k, 0)) for k, t, _ in rows if how == "left" or k in numbers)
+    assert sorted((r.k, r.t, r.n or 0) for r in out.collect()) == want
