@@ -39,16 +39,18 @@ def returns(
         df.select(episode, *order_by, F.col(reward).cast("double").alias(reward)),
         keys=[episode],
         order_by=order_by,
-        name="t",
+        name="__t",
         group_rows=group_rows,
     )
-    last = steps.agg(F.max("t")).first()[0] or 0
+    last = steps.agg(F.max("__t")).first()[0] or 0
+    # The step number comes back as "t" unless the order key has that name already.
+    number = [] if "t" in order_by else [F.col("__t").alias("t")]
     items = steps.select(
         episode,
-        F.col("t").alias("at"),
+        F.col("__t").alias("at"),
         F.col(reward).alias("v"),
         F.lit(float(gamma)).alias("w"),
-        F.struct("t", *order_by, reward).alias("row"),
+        F.struct(*number, *order_by, reward).alias("row"),
     )
     summed = _suffix_sums(items, episode, last, block)
     return summed.select(episode, "row.*", F.col("s").alias("discounted_return"))

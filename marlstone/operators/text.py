@@ -137,7 +137,7 @@ def summarize(
     texts = df.select(key, text_col)
     spread = texts.select(key, F.posexplode(T.sentences(F.col(text_col))).alias("at", "sentence"))
     frequency = (
-        word_rows(texts, key=[key], text_col=text_col, keep_stop_words=False)
+        texts.select(F.explode(F.array_distinct(T.words(F.col(text_col)))).alias("token"))
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("df"))
     )
