@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import feistel, packing, token_files
+from marlstone.llm import chunk_dedup, decontaminate, feistel, packing, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,9 +23,18 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
-def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+def benchmark(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/benchmark.parquet")
+
+
+def query(fn=None, *, sql: str | None = None):
+    def register(fn):
+        QUERIES[fn.__name__] = fn
+        if sql is not None:
+            ORACLES[fn.__name__] = sql
+        return fn
+
+    return register(fn) if fn else register
 
 
 @query
@@ -55,3 +64,59 @@ def op5_arrow_token_files(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     files = token_files.write_token_files(docs, path=tokenizer_path("word_bpe_49k.json"), end=2, keep_space=False)
     return token_files.read_token_files(spark, files, docs.schema["doc_id"].dataType)
+
+
+CHUNKS_SQL = r"""
+WITH n AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n_chars,
+         regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t
+  FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       row_number() OVER w = 1 AS kept, sha256(t) AS text_sha256
+FROM n WINDOW w AS (PARTITION BY t ORDER BY n_chars DESC, doc_id)
+"""
+
+
+@query(sql=CHUNKS_SQL)
+def op6_chunk_recipes(spark: SparkSession, folder: str) -> DataFrame:
+    return chunk_dedup.dedup(documents(spark, folder))
+
+
+WORDS_SQL = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+    r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+DECONTAMINATION_SQL = f"""
+WITH d AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+b AS (SELECT item_id, {WORDS_SQL} AS w FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS m, array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS t
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+ms AS (SELECT DISTINCT m FROM bw),
+dw AS (
+  SELECT doc_id, i, m, array_to_string(w[i:i + m - 1], ' ') AS t
+  FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d, ms WHERE len(w) >= m)),
+h AS (SELECT dw.doc_id, i, m, item_id FROM dw JOIN bw USING (m, t)),
+places AS (SELECT DISTINCT doc_id, unnest(range(i, i + m)) AS p FROM h),
+hit AS (SELECT doc_id, count(*) AS n_hit FROM places GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(list, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+@query(sql=DECONTAMINATION_SQL)
+def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.find(documents(spark, folder), benchmark(spark, folder))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.col("n_hit").cast("long").alias("n_hit"),
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
+        decontaminate.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
+    )
