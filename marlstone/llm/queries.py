@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import chunk_dedup, decontaminate, feistel, packing, token_files
+from marlstone.llm import chunk_dedup, decontaminate, feistel, packing, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -120,3 +120,22 @@ def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
         F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
         decontaminate.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
     )
+
+
+def toxicity_model(spark: SparkSession, folder: str) -> toxicity.Model | None:
+    """Fitted on labelled documents outside the held-out fifth."""
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
+    learned = labels.where(~_held_out(F.col("doc_id")))
+    texts = documents(spark, folder).select("doc_id", "text").join(learned, "doc_id").select("doc_id", "text", "toxic")
+    return toxicity.fit(texts, key=F.col("doc_id"))
+
+
+def _held_out(doc_id: Column) -> Column:
+    return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
+
+
+@query
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(spark, folder))
+    return scored.select("doc_id", _held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
