@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import chunk_dedup, decontaminate, feistel, jaccard, packing, token_files, toxicity
+from marlstone.llm import chunk_dedup, decontaminate, feistel, jaccard, line_dedup, packing, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -165,3 +165,34 @@ FROM d LEFT JOIN n USING (doc_id) JOIN r ON r.a = d.doc_id GROUP BY d.doc_id
 def op8_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     grouped = jaccard.groups(documents(spark, folder), size=4, percent=85)
     return grouped.select("doc_id", "n_shingles", "component_id")
+
+
+LINES_SQL = r"""
+WITH l AS (
+  SELECT doc_id, i - 1 AS line, s[i] AS raw,
+         trim(regexp_replace(lower(s[i]), '[ \t\r\f\x0B]+', ' ', 'g')) AS p
+  FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i
+        FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents WHERE text IS NOT NULL))),
+f AS (
+  SELECT p, min(doc_id * 1000000 + line) AS first, length(p) AS n FROM l WHERE length(p) >= 20 GROUP BY p),
+h AS (
+  SELECT p, first, m AS longer, unnest(['h' || substr(p, 1, m // 2), 't' || right(p, m - m // 2)]) AS half
+  FROM (SELECT p, first, unnest([n, n + 1]) AS m FROM f)),
+near AS (
+  SELECT DISTINCT b.p FROM h a JOIN h b ON a.longer = b.longer AND a.half = b.half AND a.first < b.first
+  WHERE levenshtein(a.p, b.p) <= 1),
+marked AS (
+  SELECT l.doc_id, l.line, l.raw,
+         f.p IS NOT NULL AND (f.first <> l.doc_id * 1000000 + l.line OR near.p IS NOT NULL) AS gone
+  FROM l LEFT JOIN f ON f.p = l.p LEFT JOIN near ON near.p = l.p)
+SELECT doc_id, count_if(gone) AS lines_dropped,
+       sha256(coalesce(string_agg(raw, chr(10) ORDER BY line) FILTER (NOT gone), '')) AS text_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+@query(sql=LINES_SQL)
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = line_dedup.drop_repeated(documents(spark, folder).select("doc_id", "text"))
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    return cleaned.select("doc_id", F.col("lines_dropped").cast("long").alias("lines_dropped"), F.sha2(text, 256).alias("text_sha256"))
