@@ -91,7 +91,7 @@ def _blocks(table: DataFrame, block_rows: int):
 def find(
     docs: DataFrame, items: DataFrame, *, window: int = WINDOW, shingle: int = SHINGLE, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """One row per document: ``doc_id``, ``n_words``, ``n_hit`` and ``item_ids`` (ascending as text).
+    """One row per document: ``doc_id``, ``text_hash`` (xxhash64), ``n_words``, ``n_hit`` and ``item_ids`` (ascending as text).
 
     A word is hit if an occurrence of a window covers it. Null and empty texts have no words and no hits; repeated
     rows are returned as often as they occur; items without words match nothing; other columns of either table are
@@ -129,7 +129,7 @@ def find(
     lists = named.groupBy(*per_doc).agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids"))
     out = _beside(_beside(sizes, lengths), lists)
     return out.select(
-        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
+        "doc_id", F.col("__h").alias("text_hash"), "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
         F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("__copy"),
     ).drop("__copy")

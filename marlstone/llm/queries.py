@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import chunk_dedup, decontaminate, feistel, jaccard, line_dedup, packing, token_files, toxicity
+from marlstone.llm import chunk_dedup, decontaminate, feistel, jaccard, line_dedup, packing, surrogates, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -196,3 +196,8 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cleaned = line_dedup.drop_repeated(documents(spark, folder).select("doc_id", "text"))
     text = F.coalesce("text", F.lit("")).cast("binary")
     return cleaned.select("doc_id", F.col("lines_dropped").cast("long").alias("lines_dropped"), F.sha2(text, 256).alias("text_sha256"))
+
+
+@query
+def op1_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    return surrogates.replace(documents(spark, folder).select("doc_id", "text"), key="surrogates-1")
