@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import chunk_dedup, decontaminate, feistel, jaccard, line_dedup, packing, surrogates, token_files, toxicity
+from marlstone.llm import chunk_dedup, decontaminate, feistel, jaccard, kneser_ney, line_dedup, packing, surrogates, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -201,3 +201,10 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op1_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     return surrogates.replace(documents(spark, folder).select("doc_id", "text"), key="surrogates-1")
+
+
+@query
+def op2_kneser_ney_quality(spark: SparkSession, folder: str) -> DataFrame:
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    docs = documents(spark, folder).select("doc_id", "lang", "text")
+    return kneser_ney.classify(docs, labels.where("quality = 1"))
