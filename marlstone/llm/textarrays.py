@@ -45,7 +45,7 @@ def _power(name: str, base: int, n: int) -> np.ndarray:
     return known[:n]
 
 
-def bounded(column: pa.Array, limit: int = 4 * BLOCK) -> Iterator[tuple[int, pa.Array]]:
+def bounded(column: pa.Array, limit: int = BLOCK) -> Iterator[tuple[int, pa.Array]]:
     """Slices of a string column with at most ``limit`` bytes, or one text; with their first row."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
     at, done = 0, 0
