@@ -1,8 +1,8 @@
 """Near-equal lines across documents by a deletion-neighbourhood join.
 
 Lines of at least ``least`` characters are compared without case and with single blanks. Two lines one edit apart
-have a variant in common when each may lose one character; all variants are emitted as hashes, equal ones join, and
-the edit distance is verified. A line with such a partner shares one of its halves with it, so lines that share
+have a variant in common when each may lose one character, at the same place or only one of them; all variants are
+emitted as hashes with that place, equal ones join the earliest line that has them, and the edit distance is verified. A line with such a partner shares one of its halves with it, so lines that share
 none are set aside before any variants are made. A line goes when an equal or near-equal line occurs earlier, in
 order of ``doc_id`` and place, whether or not that one stays.
 """
@@ -49,14 +49,14 @@ def _halves() -> Column:
 
 
 def variant_hashes(line: str) -> np.ndarray:
-    """Hashes of the line and of all lines that lack one of its characters."""
-    codes = np.frombuffer(line.encode("utf-32-le"), np.uint32).astype(np.uint64)
+    """Hashes of the line and of what is left without its first, second ... last character."""
+    codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     with np.errstate(over="ignore"):
         powers = np.cumprod(np.concatenate([[1], np.full(len(codes), _BASE, np.uint64)]).astype(np.uint64))
         sums = np.concatenate([[0], np.cumsum(mix(codes + np.uint64(1)) * powers[:-1])]).astype(np.uint64)
         without = sums[:-1] + (sums[-1] - sums[1:]) * np.uint64(_INVERSE)
         sizes = np.array([len(codes), *[len(codes) - 1] * len(codes)], np.uint64)
-        return np.unique(mix(np.concatenate([sums[-1:], without]) + mix(sizes))).view(np.int64)
+        return mix(np.concatenate([sums[-1:], without]) + mix(sizes)).view(np.int64)
 
 
 def _near(docs: DataFrame, firsts: DataFrame, least: int) -> DataFrame:
@@ -77,22 +77,32 @@ def _near(docs: DataFrame, firsts: DataFrame, least: int) -> DataFrame:
                 found = [variant_hashes(t) for t in part.column("plain").to_pylist()]
                 rows = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
                 columns = [part.column("k1").take(rows), part.column("k2").take(rows), pa.array(np.concatenate(found))]
-                yield pa.RecordBatch.from_arrays(columns, ["k1", "k2", "variant"])
-
-    variants = durable(known.select(*_KEY, "plain").mapInArrow(spread, "k1 long, k2 long, variant long"))
-    met = variants.groupBy("variant").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("variant")
-    joined = durable(variants.join(met, "variant"))
-
-    def end(name: str, table: DataFrame, *columns: str) -> DataFrame:
-        return table.select(*columns, *[F.col(c).alias(f"{c}_{name}") for c in table.columns if c not in columns])
-
-    differs = (F.col("k1_a") != F.col("k1_b")) | (F.col("k2_a") != F.col("k2_b"))
-    # Lines with one variant differ from it in one character: as many as there are characters and places.
-    pairs = end("a", joined, "variant").join(end("b", joined, "variant"), "variant").where(differs).drop("variant").distinct()
-    sides = pairs.join(end("a", known), ["k1_a", "k2_a"]).join(end("b", known), ["k1_b", "k2_b"])
-    within = F.levenshtein("plain_a", "plain_b", 1) >= 0
-    found = sides.where((F.col("first_a") < F.col("first_b")) & within)
-    return found.groupBy(F.col("k1_b").alias("k1"), F.col("k2_b").alias("k2")).agg(F.min("first_a").alias("earlier"))
+                columns.append(pa.array(np.concatenate([np.arange(-1, len(f) - 1, dtype=np.int32) for f in found])))
+                yield pa.RecordBatch.from_arrays(columns, ["k1", "k2", "variant", "lost"])
+
+    emitted = durable(known.select(*_KEY, "plain").mapInArrow(spread, "k1 long, k2 long, variant long, lost int"))
+    # Only variants that two lines have lead anywhere.
+    met = emitted.groupBy("variant").agg((F.min("k1") != F.max("k1")).alias("shared")).where("shared").select("variant")
+    ranked = known.select(*_KEY, "first")
+    variants = durable(emitted.join(met, "variant").join(ranked, _KEY))
+    line = F.struct("first", *_KEY)
+    whole = variants.where("lost = -1").select("variant", line.alias("other"))
+    shorter = variants.where("lost >= 0")
+    # Another character at one place: the earliest line of each (variant, place) is a partner of all others.
+    same_place = shorter.groupBy("variant", "lost").agg(F.min(line).alias("other"))
+    one_less = shorter.groupBy("variant").agg(F.min(line).alias("other"))
+    pairs = shorter.join(same_place, ["variant", "lost"]).select(*_KEY, "first", "other")
+    # A character more or less: a line and those that become it.
+    pairs = pairs.unionByName(shorter.join(whole, "variant").select(*_KEY, "first", "other"))
+    pairs = pairs.unionByName(
+        variants.where("lost = -1").join(one_less, "variant").select(*_KEY, "first", "other")
+    )
+    pairs = pairs.where(F.col("other.first") < F.col("first")).distinct()
+    named = pairs.select(*_KEY, F.col("other.k1").alias("k1_b"), F.col("other.k2").alias("k2_b"), F.col("other.first").alias("earlier"))
+    texts_b = known.select(F.col("k1").alias("k1_b"), F.col("k2").alias("k2_b"), F.col("plain").alias("plain_b"))
+    both = named.join(known.select(*_KEY, "plain"), _KEY).join(texts_b, ["k1_b", "k2_b"])
+    found = both.where(F.levenshtein("plain", "plain_b", 1) >= 0)
+    return found.groupBy(*_KEY).agg(F.min("earlier").alias("earlier"))
 
 
 def repeated_lines(docs: DataFrame, *, least: int = LEAST) -> DataFrame:
