@@ -124,10 +124,8 @@ def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 
 def toxicity_model(spark: SparkSession, folder: str) -> toxicity.Model | None:
     """Fitted on labelled documents outside the held-out fifth."""
-    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
-    learned = labels.where(~_held_out(F.col("doc_id")))
-    texts = documents(spark, folder).select("doc_id", "text").join(learned, "doc_id").select("doc_id", "text", "toxic")
-    return toxicity.fit(texts, key=F.col("doc_id"))
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where(~_held_out(F.col("doc_id")))
+    return toxicity.fit(documents(spark, folder), labels)
 
 
 def _held_out(doc_id: Column) -> Column:

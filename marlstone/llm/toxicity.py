@@ -16,7 +16,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +29,7 @@ LEAST_SIMILAR = 0.5
 CERTAIN = 3.0
 REMEMBERED = 1_000_000
 GROUP = 64
+TASKS = 48
 # Look-alike signs are read as the letters they stand for.
 _ALIKE = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"})
 _STEPS = [s for s in itertools.product(range(1, SPAN), repeat=2) if sum(s) < SPAN]
@@ -36,9 +37,12 @@ _STEPS = [s for s in itertools.product(range(1, SPAN), repeat=2) if sum(s) < SPA
 
 def letters(token: str) -> str:
     """The letters of a token, lower case; look-alike signs only where there are letters beside them."""
+    token = token.strip(".,;:!?\"'()[]")
+    if token.isascii() and token.isalpha():
+        return token.lower()
     token = unicodedata.normalize("NFKC", token).lower()
     if any(c.isalpha() for c in token):
-        token = token.strip(".,;:!?\"'()[]").translate(_ALIKE)
+        token = token.translate(_ALIKE)
     return "".join(c for c in token if c.isalpha())
 
 
@@ -60,11 +64,16 @@ def subsequences(words: Sequence[str]) -> Iterator[tuple[np.ndarray, np.ndarray,
         if not triples:
             continue
         i, j, k, weight = (np.array(c) for c in zip(*triples, strict=True))
-        codes = np.array([[ord(c) for c in words[p]] for p in places], np.int64)
+        raw = "".join([words[p] for p in places]).encode("utf-32-le", "surrogatepass")
+        codes = np.frombuffer(raw, np.uint32).reshape(len(places), n).astype(np.int64)
         found = (codes[:, i] << 42) | (codes[:, j] << 21) | codes[:, k]
         yield np.array(places), found, weight
 
 
+def _bucket(triples: np.ndarray) -> np.ndarray:
+    return ((triples ^ (triples >> 21) * 31 ^ (triples >> 42) * 1021) & ((1 << 20) - 1)).astype(np.int64)
+
+
 class Kernel:
     """Similarities of words to landmarks, from 0 to 1."""
 
@@ -83,14 +92,19 @@ class Kernel:
         self.first = np.concatenate([[0], np.cumsum(counts)])
         self.place = np.array([k[1] for k in keys], np.int64)
         self.value = np.array([rows[k] / np.sqrt(norms[k[1]]) for k in keys])
+        self.met = np.zeros(1 << 20, bool)
+        self.met[_bucket(self.triples)] = True
 
     def __call__(self, words: Sequence[str]) -> np.ndarray:
         """A row for each word and a column for each landmark."""
         out = np.zeros((len(words), len(self.landmarks)))
         for places, found, weight in subsequences(words):
-            for at in range(0, len(places), 2048):
-                part = found[at : at + 2048]
-                out[places[at : at + 2048]] = self._some(part, weight)
+            # A word as similar as LEAST_SIMILAR has at least its square of its own mass in landmarks' triples.
+            shared = self.met[_bucket(found)] @ (weight * weight)
+            likely = np.flatnonzero(shared >= 0.8 * LEAST_SIMILAR**2 * (weight @ weight))
+            for at in range(0, len(likely), 512):
+                some = likely[at : at + 512]
+                out[places[some]] = self._some(found[some], weight)
         return out
 
     def _some(self, found: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -131,6 +145,10 @@ class Reader:
         self.rows = 2  # row 1: a single letter like no landmark
 
     def _learn(self, tokens: Sequence[str]) -> None:
+        for at in range(0, len(tokens), 2048):
+            self._learn_some(tokens[at : at + 2048])
+
+    def _learn_some(self, tokens: Sequence[str]) -> None:
         spelled = [letters(t) for t in tokens]
         parts = [units(s) for s in spelled]
         flat = [u for p in parts for u in p]
@@ -245,22 +263,27 @@ def _logistic(margin: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarr
 
 
 def fit(
-    texts: DataFrame, *, key: Column, sample_rows: int = 12_000, landmarks: int = 400, candidates: int = 20_000
+    docs: DataFrame, labels: DataFrame, *, sample_rows: int = 12_000, landmarks: int = 256, candidates: int = 20_000
 ) -> Model | None:
-    """A model from labelled ``text`` and ``toxic`` (0 or 1); None if there is no row of either label.
+    """A model from ``docs`` (``doc_id``, ``text``) and ``labels`` (``doc_id``, ``toxic``); None without rows of both.
 
-    Bounds, on fitting only: at most ``sample_rows`` rows, up to half of each label, the ones with the smallest hash
-    of ``key``; of their words the ``candidates`` that most set the labels apart are compared, and ``landmarks`` of
-    them kept at most. Rows without text or label are left out.
+    Bounds, on fitting only: at most ``sample_rows`` labels, up to half of either kind, those with the smallest hash
+    of ``doc_id``; of their words the ``candidates`` most frequent among toxic rows are compared, and ``landmarks``
+    of them kept at most. Rows without text or with another label are left out.
     """
-    known = texts.where("text is not null and toxic in (0, 1)").withColumn("__order", F.xxhash64(key))
+    known = labels.where("doc_id is not null and toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    known = known.distinct().withColumn("__order", F.xxhash64("doc_id"))
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     if len(counts) < 2:
         return None
     half = sample_rows // 2
-    parts = [known.where(F.col("toxic") == t).orderBy("__order", "text").limit(half) for t in (0, 1)]
-    sample = durable(parts[0].unionByName(parts[1]).select("text", F.col("toxic").cast("int").alias("toxic"), "__order"))
-    taken = {t: min(n, half) for t, n in counts.items()}
+    parts = [known.where(F.col("toxic") == t).orderBy("__order", "doc_id").limit(half) for t in (0, 1)]
+    ids = durable(parts[0].unionByName(parts[1]))
+    texts = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    sample = durable(texts.select("text", "toxic", "__order").repartition(TASKS, "__order"))
+    taken = {t: 0 for t in (0, 1)} | {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    if not all(taken.values()):
+        return None
     chosen = _landmarks(sample, taken, landmarks, candidates)
     if not chosen:
         return None
@@ -268,7 +291,10 @@ def fit(
     def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [v.tobytes() for v in reader(chosen).read(batch.column("text").to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), batch.column("__order"), pa.array(rows, pa.binary())], ["toxic", "at", "v"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("toxic"), batch.column("__order"), pa.array(rows, pa.binary())],
+                ["toxic", "at", "v"],
+            )
 
     rows = sorted(sample.mapInArrow(values, "toxic int, at long, v binary").collect())
     toxic = np.array([r["toxic"] == 1 for r in rows])
