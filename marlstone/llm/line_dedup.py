@@ -52,8 +52,11 @@ def variant_hashes(line: str) -> np.ndarray:
     """Hashes of the line and of what is left without its first, second ... last character."""
     codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     with np.errstate(over="ignore"):
-        powers = np.cumprod(np.concatenate([[1], np.full(len(codes), _BASE, np.uint64)]).astype(np.uint64))
-        sums = np.concatenate([[0], np.cumsum(mix(codes + np.uint64(1)) * powers[:-1])]).astype(np.uint64)
+        powers = np.full(len(codes), _BASE, np.uint64)
+        powers[:1] = 1
+        powers = np.cumprod(powers, dtype=np.uint64)
+        sums = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum(mix(codes + np.uint64(1)) * powers, out=sums[1:])
         without = sums[:-1] + (sums[-1] - sums[1:]) * np.uint64(_INVERSE)
         sizes = np.array([len(codes), *[len(codes) - 1] * len(codes)], np.uint64)
         return mix(np.concatenate([sums[-1:], without]) + mix(sizes)).view(np.int64)
