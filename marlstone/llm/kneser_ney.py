@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -186,8 +187,6 @@ def _shards(model: DataFrame, shard_rows: int) -> Iterator[tuple[int, int, dict]
         number, value = n.to_numpy(), g.to_numpy()
         as_gram = (mix(((value >> _BITS) & _mask(2)).astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
         as_context = (mix((value & _mask(2)).astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
-        import pandas as pd
-
         return pd.Series([list(range(shards)) if k <= 2 else sorted({a, b}) for k, a, b in zip(number, as_gram, as_context, strict=True)])
 
     spread = model if shards == 1 else durable(model.withColumn("shard", F.explode(belongs("n", "g"))))
@@ -208,11 +207,14 @@ def perplexities(docs: DataFrame, model: DataFrame, *, shard_rows: int = SHARD_R
     numbers = {lang: k for k, lang in enumerate(langs)}
     id_field = docs.schema["doc_id"]
     parts = None
-    for shard, shards, rows in _shards(model, shard_rows):
-        found = rows.toPandas()
-        lang = found["lang"].map(numbers).to_numpy(np.int64)
-        keys = _keys(_salts(lang), found["n"].to_numpy(), found["g"].to_numpy())
-        arrays = spark.sparkContext.broadcast((keys, found["logp"].to_numpy(float), found["logb"].to_numpy(float)))
+    for shard, shards, rows in _shards(model, shard_rows) if langs else ():
+        number = F.array_position(F.array(*map(F.lit, langs)), F.col("lang")) - 1
+        values = [F.col(c).cast("float").alias(c) for c in ("logp", "logb")]
+        found = rows.select(number.cast("int").alias("lang"), "n", "g", *values).toArrow()
+        n, g, logp, logb = (found.column(c).to_numpy() for c in ("n", "g", "logp", "logb"))
+        keys = _keys(_salts(found.column("lang").to_numpy()), n, g)
+        arrays = spark.sparkContext.broadcast((keys, logp, logb))
+        del found, n, g, logp, logb, keys
 
         def score(batches, shard=shard, shards=shards, arrays=arrays) -> Iterator[pa.RecordBatch]:
             table = Table(*arrays.value)
@@ -240,6 +242,9 @@ def perplexities(docs: DataFrame, model: DataFrame, *, shard_rows: int = SHARD_R
         if shards > 1:
             part = durable(part.withColumn("shard", F.lit(shard)))
         parts = part if parts is None else parts.unionByName(part)
+    if parts is None:
+        nothing = [F.lit(0).cast(t).alias(c) for c, t in (("scored", "long"), ("logs", "double"))]
+        parts = source.select("doc_id", "lang", "th", F.coalesce(F.char_length("text"), F.lit(0)).cast("long").alias("n_chars"), *nothing)
     perplexity = F.when(F.col("scored") > 0, F.exp(-F.col("logs") / F.col("scored"))).alias("perplexity")
     if "shard" in parts.columns:
         # Repeated rows add up as often in every shard, so their mean is that of one.
