@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -80,12 +81,16 @@ def _steps(edges: DataFrame) -> DataFrame:
     return edges.select("src", "dst", place.alias("place")).distinct()
 
 
-def distances(edges: DataFrame, sources: DataFrame, *, max_hops: int) -> DataFrame:
-    """Hops from the nearest source ``sources(node)`` to every node within ``max_hops``."""
+def _hops(max_hops: int | None):
+    return itertools.count(1) if max_hops is None else range(1, max_hops + 1)
+
+
+def distances(edges: DataFrame, sources: DataFrame, *, max_hops: int | None = None) -> DataFrame:
+    """Hops from the nearest source ``sources(node)`` to every node reached, within ``max_hops`` if given."""
     steps = durable(edges.select("src", "dst").distinct())
     frontier = durable(sources.select("node").distinct().withColumn("depth", F.lit(0)))
     visited = frontier
-    for depth in range(1, max_hops + 1):
+    for depth in _hops(max_hops):
         reached = frontier.join(steps, F.col("node") == F.col("src")).select(F.col("dst").alias("node"))
         fresh = reached.distinct().join(visited.select("node"), "node", "left_anti")
         frontier = durable(fresh.withColumn("depth", F.lit(depth)))
@@ -96,12 +101,12 @@ def distances(edges: DataFrame, sources: DataFrame, *, max_hops: int) -> DataFra
 
 
 def shortest_paths(
-    nodes: DataFrame, edges: DataFrame, pairs: DataFrame, *, max_hops: int
+    nodes: DataFrame, edges: DataFrame, pairs: DataFrame, *, max_hops: int | None = None
 ) -> DataFrame:
     """Fewest-hop paths for ``pairs(pair_id, source, target)``: status, length and path.
 
-    Status is ``found``, ``no path`` (within ``max_hops``) or ``missing`` when an endpoint
-    is not declared. Among equally short paths the one met first in edge order wins:
+    Status is ``found``, ``no path``, ``missing`` when an endpoint is not declared, or
+    ``beyond bound`` when a given ``max_hops`` ended the search before all was reached. Among equally short paths the one met first in edge order wins:
     the places of a path's edges, compared in turn, are exactly breadth-first order.
     Each hop is one join and one combined aggregate, written to the shared folder.
     """
@@ -128,7 +133,7 @@ def shortest_paths(
     )
     levels = [frontier]
     visited = frontier.select("pair_id", "node")
-    for _ in range(max_hops):
+    for _ in _hops(max_hops):
         open_pairs = frontier.where("node <> target").join(
             frontier.where("node = target").select("pair_id"), "pair_id", "left_anti"
         )
@@ -150,16 +155,18 @@ def shortest_paths(
             break
         levels.append(frontier)
         visited = visited.unionByName(frontier.select("pair_id", "node"))
+    unfinished = frontier.where("node <> target").select("pair_id", F.lit(True).alias("cut")).distinct()
     found = [level.where("node = target").select("pair_id", "path") for level in levels]
     paths = found[0]
     for more in found[1:]:
         paths = paths.unionByName(more)
     status = (
         F.when(F.coalesce("ok", F.lit(False)) == F.lit(False), "missing")
+        .when(F.col("path").isNull() & F.col("cut"), "beyond bound")
         .when(F.col("path").isNull(), "no path")
         .otherwise("found")
     )
-    return ends.join(paths, "pair_id", "left").select(
+    return ends.join(paths, "pair_id", "left").join(unfinished, "pair_id", "left").select(
         "pair_id",
         "source",
         "target",

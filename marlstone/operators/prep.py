@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.functions.text import strip
-from marlstone.plans.joins import attach
 from marlstone.plans.positions import hash_unit
 
 UNIT = 1 << 32
@@ -64,42 +63,12 @@ def text_blocks(df: DataFrame, *, key: str, text_col: str) -> DataFrame:
     return df.select(key, F.posexplode(lines).alias("block", "text"))
 
 
-def assemble_prompts(
-    df: DataFrame,
-    *,
-    conversation: str,
-    turn: str,
-    role: str,
-    text: str,
-    turns_per_part: int = 10_000,
-) -> DataFrame:
-    """``role: text`` lines in turn order, closed by ``assistant:``.
-
-    A conversation longer than ``turns_per_part`` comes back as numbered parts whose
-    concatenation by line breaks is the prompt; only the last part is closed.
-    """
-    part = F.expr(f"cast({turn} div {turns_per_part} as bigint)")
+def assemble_prompts(df: DataFrame, *, conversation: str, turn: str, role: str, text: str) -> DataFrame:
+    """``role: text`` lines in turn order, closed by ``assistant:``; one row per conversation of any length."""
     line = F.concat(F.col(role), F.lit(": "), F.col(text))
-    parts = df.groupBy(conversation, part.alias("part")).agg(
-        F.array_join(
-            F.transform(
-                F.array_sort(F.collect_list(F.struct(F.col(turn).alias("t"), line.alias("line")))),
-                lambda r: r["line"],
-            ),
-            "\n",
-        ).alias("body")
-    )
-    # Only conversations of several parts need to know their last one; they are few.
-    long = df.where(F.col(turn) >= turns_per_part)
-    last = long.groupBy(conversation).agg(F.max(part).alias("last_part"))
-    closing = F.col("part") == F.coalesce("last_part", F.lit(0))
-    return attach(parts, last, [conversation]).select(
-        conversation,
-        "part",
-        F.when(closing, F.concat("body", F.lit("\nassistant:")))
-        .otherwise(F.col("body"))
-        .alias("prompt"),
-    )
+    turns = F.array_sort(F.collect_list(F.struct(F.col(turn).alias("t"), line.alias("line"))))
+    prompt = F.array_join(F.transform(turns, lambda r: r["line"]), "\n")
+    return df.groupBy(conversation).agg(F.concat(prompt, F.lit("\nassistant:")).alias("prompt"))
 
 
 def top_predictions(

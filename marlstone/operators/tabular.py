@@ -102,12 +102,14 @@ def fit(
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     prepared = prepare(rows, features)
     if task == "classification":
-        named = prepared.withColumn("__target", F.col(target).cast("string"))
-        indexer = StringIndexer(inputCol="__target", outputCol="label", handleInvalid="keep").fit(named)
+        given = F.col(target).cast("string")
+        refused = F.raise_error(F.lit(f"target {target} is null")).cast("string")
+        named = prepared.withColumn("__target", F.coalesce(given, refused))
+        indexer = StringIndexer(inputCol="__target", outputCol="label", handleInvalid="error").fit(named)
         classes = indexer.labels
         count = rows.count() if algorithm == "logistic" else 0
         model = _estimator(task, algorithm, count, len(classes), trees, depth)
-        back = IndexToString(inputCol="prediction", outputCol="predicted", labels=[*classes, "?"])
+        back = IndexToString(inputCol="prediction", outputCol="predicted", labels=classes)
         # Scoring needs no target, so only the stages after the indexer are kept.
         known = indexer.transform(named)
         pipeline = Pipeline(stages=[assembler, model, back]).fit(known)

@@ -422,7 +422,7 @@ def graph_export(spark, folder):
     WITH RECURSIVE {CYCLE_EDGES_SQL},
     walk(node, depth) AS (
       SELECT 'S' || min(s_suppkey), 0 FROM supplier
-      UNION SELECT dst, depth + 1 FROM walk JOIN edges ON node = src WHERE depth < 6)
+      UNION SELECT dst, depth + 1 FROM walk JOIN edges ON node = src WHERE depth < 40)
     SELECT node, min(depth) AS depth FROM walk GROUP BY node
     """,
 )
@@ -431,7 +431,7 @@ def bfs_distance(spark, folder):
     first = table(spark, folder, "supplier").agg(
         F.concat(F.lit("S"), F.min("s_suppkey")).alias("node")
     )
-    return graph.distances(derived.cycle_edges(spark, folder), first, max_hops=6)
+    return graph.distances(derived.cycle_edges(spark, folder), first)
 
 
 @query(
@@ -441,7 +441,7 @@ def bfs_distance(spark, folder):
     pairs AS (SELECT c_custkey AS pair_id, 'C' || c_custkey AS source, 'R' || (c_custkey % 7) AS target FROM customer),
     walk(pair_id, node, path, depth) AS (
       SELECT pair_id, source, source, 0 FROM pairs
-      UNION ALL SELECT pair_id, dst, path || '>' || dst, depth + 1 FROM walk JOIN edges ON node = src WHERE depth < 4)
+      UNION ALL SELECT pair_id, dst, path || '>' || dst, depth + 1 FROM walk JOIN edges ON node = src)
     SELECT p.pair_id, CASE WHEN CAST(substr(target, 2) AS INTEGER) > 4 THEN 'missing'
                            WHEN path IS NULL THEN 'no path' ELSE 'found' END AS status,
            CAST(depth AS INTEGER) AS length, path
@@ -456,6 +456,6 @@ def shortest_path(spark, folder):
         F.concat(F.lit("R"), (F.col("c_custkey") % 7).cast("string")).alias("target"),
     )
     found = graph.shortest_paths(
-        derived.graph_nodes(spark, folder), derived.graph_edges(spark, folder), pairs, max_hops=4
+        derived.graph_nodes(spark, folder), derived.graph_edges(spark, folder), pairs
     )
     return found.select("pair_id", "status", "length", F.array_join("path", ">").alias("path"))

@@ -198,7 +198,7 @@ def text_blocks(spark, folder):
 @query(
     "assemble_prompts",
     """
-    SELECT conv_id, CAST(0 AS BIGINT) AS part,
+    SELECT conv_id,
            string_agg(role || ': ' || text, chr(10) ORDER BY turn) || chr(10) || 'assistant:' AS prompt
     FROM conversations GROUP BY conv_id
     """,

@@ -104,7 +104,7 @@ def net(spark):
     return nodes, graph.add_edges(None, edges)
 
 
-def walk(spark, net, ends, max_hops=10):
+def walk(spark, net, ends, max_hops=None):
     pairs = spark.createDataFrame([(i, *e) for i, e in enumerate(ends)], "pair_id long, source string, target string")
     out = graph.shortest_paths(*net, pairs, max_hops=max_hops).orderBy("pair_id").collect()
     return [(r.status, r.length, r.path) for r in out]
@@ -120,12 +120,19 @@ def test_shortest_paths(spark, net):
         ("found", 4, ["x", "a", "c", "d", "e"]),
         ("no path", None, None),
     ]
-    assert walk(spark, net, [("x", "e")], max_hops=3) == [("no path", None, None)]
+    assert walk(spark, net, [("x", "e")], max_hops=3) == [("beyond bound", None, None)]
+
+
+def test_long_paths_need_no_bound(spark):
+    chain = [f"n{i:02d}" for i in range(13)]
+    edges = spark.createDataFrame([(a, b, i) for i, (a, b) in enumerate(zip(chain, chain[1:], strict=False))], "src string, dst string, seq long")
+    nodes = spark.createDataFrame([(n,) for n in chain], "id string")
+    assert walk(spark, (nodes, graph.add_edges(None, edges)), [("n00", "n12")]) == [("found", 12, chain)]
 
 
 def test_distances(spark, net):
     source = spark.createDataFrame([("x",), ("d",)], "node string")
-    got = {r.node: r.depth for r in graph.distances(net[1], source, max_hops=9).collect()}
+    got = {r.node: r.depth for r in graph.distances(net[1], source).collect()}
     assert got == {"x": 0, "d": 0, "a": 1, "e": 1, "b": 2, "c": 2, "ghost": 2}
 
 

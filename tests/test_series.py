@@ -53,21 +53,14 @@ def test_positions_with_null_key(spark):
 
 
 @pytest.mark.parametrize("group_rows", [10_000, 50])
-@pytest.mark.parametrize("window", [1, 7])
-def test_rolling(skewed, group_rows, window):
-    df, rows = skewed
-    got = {
-        (r.k, r.t): (r.rolling_mean, r.rolling_std)
-        for r in timeseries.rolling(df, **KEYS, window=window, group_rows=group_rows).collect()
-    }
-    want = {}
-    for k, values in by_series(rows).items():
-        for i in range(window - 1, len(values)):
-            part = np.array(values[i - window + 1 : i + 1])
-            want[k, i] = (part.mean(), part.std())
-    assert got.keys() == want.keys()
-    for key, pair in want.items():
-        assert got[key] == pytest.approx(pair, abs=1e-9)
+@pytest.mark.parametrize("window,spread", [(1, 0.0), (7, 2.0)])
+def test_rolling_of_a_ramp(spark, group_rows, window, spread):
+    """Seven whole numbers in a row have their middle as mean and a deviation of two."""
+    df = table(spark, [("hot", t, float(t)) for t in range(400)] + [("a", t, float(t)) for t in range(8)])
+    got = timeseries.rolling(df, **KEYS, window=window, group_rows=group_rows).collect()
+    assert {(r.k, r.t) for r in got} == {(k, t) for k, n in (("hot", 400), ("a", 8)) for t in range(window - 1, n)}
+    for r in got:
+        assert (r.rolling_mean, r.rolling_std) == pytest.approx((r.t - (window - 1) / 2, spread), abs=1e-9)
 
 
 def test_halo_blocks_hold_wide_windows(skewed):
@@ -102,15 +95,15 @@ def test_resample(skewed, method, group_rows):
     assert got == pytest.approx(want, abs=1e-9)
 
 
-@pytest.mark.parametrize("method", ["last", "mean", "drift", "unknown"])
-def test_forecast(skewed, method):
-    df, rows = skewed
-    got = {(r.k, r.step): r.forecast for r in timeseries.forecast(df, **KEYS, horizon=3, method=method).collect()}
-    for k, v in by_series(rows).items():
-        slope = (v[-1] - v[0]) / max(len(v) - 1, 1)
-        for h in (1, 2, 3):
-            want = {"mean": np.mean(v), "drift": v[-1] + slope * h}.get(method, v[-1])
-            assert got[k, h] == pytest.approx(want, abs=1e-9)
+FORECASTS = {"last": [4.0, 4.0, 4.0], "mean": [3.0, 3.0, 3.0], "drift": [5.0, 6.0, 7.0], "unknown": [4.0, 4.0, 4.0]}
+
+
+@pytest.mark.parametrize("method", list(FORECASTS))
+def test_forecast(spark, method):
+    df = table(spark, [("s", 0, 2.0), ("s", 1, 3.0), ("s", 2, 4.0), ("one", 0, 6.0)])
+    out = timeseries.forecast(df, **KEYS, horizon=3, method=method).orderBy("step").collect()
+    assert [r.forecast for r in out if r.k == "s"] == pytest.approx(FORECASTS[method], abs=1e-9)
+    assert [r.forecast for r in out if r.k == "one"] == pytest.approx([6.0, 6.0, 6.0], abs=1e-9)
 
 
 def test_forecast_without_horizon(skewed):
@@ -143,20 +136,16 @@ def test_bad_arguments(skewed, bad):
 STEPS = {"episode": "k", "order_by": ["t"], "reward": "v"}
 
 
-@pytest.mark.parametrize("gamma", [0.0, 0.9, 1.0])
-@pytest.mark.parametrize("block,group_rows", [(2_000, 10_000), (7, 10_000), (3, 50)])
-def test_returns(skewed, gamma, block, group_rows):
-    df, rows = skewed
+@pytest.mark.parametrize(
+    "gamma,want", [(0.0, [8.0, 4.0, 0.0, 2.0]), (0.5, [10.25, 4.5, 1.0, 2.0]), (1.0, [14.0, 6.0, 2.0, 2.0])]
+)
+@pytest.mark.parametrize("block,group_rows", [(2_000, 10_000), (3, 10_000), (2, 3)])
+def test_returns(spark, gamma, want, block, group_rows):
+    rewards = [8.0, 4.0, 0.0, 2.0]
+    df = table(spark, [("e", t, v) for t, v in enumerate(rewards)] + [("one", 0, 5.0)])
     out = rl.returns(df, **STEPS, gamma=gamma, block=block, group_rows=group_rows).collect()
-    assert len(out) == len(rows)
-    want = {}
-    for k, values in by_series(rows).items():
-        g = 0.0
-        for t in reversed(range(len(values))):
-            g = values[t] + gamma * g
-            want[k, t] = g
-    for r in out:
-        assert r.discounted_return == pytest.approx(want[r.k, r.t], abs=1e-8)
+    got = {(r.k, r.t): r.discounted_return for r in out}
+    assert got == pytest.approx({**{("e", t): v for t, v in enumerate(want)}, ("one", 0): 5.0}, abs=1e-8)
 
 
 def test_long_episode_does_not_underflow(spark):
