@@ -4,6 +4,10 @@ An entity is its type and canonical form, so all its mentions get the same surro
 surrogate follows from a secret key, the entity and an attempt. All distinct entities are checked against one
 another and against every surrogate; where two would get the same one, or one that is real, all but the first
 are drawn again until all differ. Only entities drawn more than once have to be known to rewrite the texts.
+
+Persons are met behind a form of address and then known by their names over the whole document, with a title or
+without. Each name is an entity of its own: a family name has one surrogate in all its mentions, so full, short and
+untitled mentions of a person agree; given names follow the gender that the document's titles give them.
 """
 
 from __future__ import annotations
@@ -11,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -40,8 +45,27 @@ FAMILY = {
     "latin": "Abel Berger Castell Dorn Ender Falk Garner Hollis Imhof Jansen Keller Lorenz Morell Norden Olsen Perrin Quint Rossi Sander Tolman Ulmer Verano Weller Zeller",
     "cyrillic": "Алексеенко Бондаренко Гончар Дорошенко Иваненко Коваленко Лысенко Мороз Павленко Тарасенко",
 }
-_NAME = r"[A-ZÀ-ÖØ-ÞА-Я][a-zß-öø-ÿа-яё]+(?:-[A-ZÀ-ÖØ-ÞА-Я][a-zß-öø-ÿа-яё]+)?"
-_TITLE = "|".join(re.escape(t) for names in TITLES.values() for t in sorted(names, key=len, reverse=True))
+# What may follow a title before the name, lower-case parts of names, and what may follow a name.
+RANKS = ("Dr", "Prof", "Professor", "Professorin", "Doctor", "Doktor", "Ing.", "Dipl.-Ing.", "med.", "jur.", "phil.", "h.c.")
+PARTICLES = set("von van vom der den de del della dello la le du da das do dos di zu zum zur ten ter af av bin ibn".split())
+SUFFIXES = {"jr", "sr", "jun", "sen", "ii", "iii", "iv", "phd", "md", "esq"}
+
+
+def _forms(titles: list[str]) -> str:
+    return "|".join(re.escape(t) for t in sorted(titles, key=len, reverse=True))
+
+
+_LETTER = r"[^\W\d_][\u0300-\u036f]*"
+_TITLE_NAMES = [t for names in TITLES.values() for t in names]
+_GAP = r"(?:(?<=\.)|[ \t\u00a0\u202f]*(?:\r?\n)?[ \t\u00a0\u202f]*(?<=\s))"
+_TITLE = re.compile(rf"(?<!\w)(?P<title>{_forms(_TITLE_NAMES)}){_GAP}(?=[^\W\d_])")
+_STACKED = [t for t in _TITLE_NAMES if t not in ("M.", "Miss", "Don")]
+_RANK = re.compile(rf"(?:{_forms([*RANKS, *_STACKED])}){_GAP}(?=[^\W\d_])")
+# A run of letters with apostrophes and hyphens inside; the s of a possessive is not part of it.
+_WORD = re.compile(rf"{_LETTER}(?:{_LETTER})*(?:(?:['’ʼ](?![sS](?![\w\u0300-\u036f]))|[-‐‑]){_LETTER}(?:{_LETTER})*)*")
+_INITIAL = re.compile(rf"{_LETTER}\.(?!\w*@)")
+_BETWEEN = re.compile(r"[ \t\u00a0\u202f]+")
+_GENDER = {t.rstrip("."): g for g, names in TITLES.items() for t in names}
 _MARKED = re.compile(
     r"(?P<email>[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)"
     r"|(?P<secret>\bAKIA[0-9A-Z]{12,}\b|\b(?:ghp|sk|pk)[-_][A-Za-z0-9_-]{16,}"
@@ -53,7 +77,6 @@ _MARKED = re.compile(
     r"|(?P<phone>(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\w)|(?<![\w.])\+\d{8,14}(?!\w))"
 )
 _MAY_HOLD = re.compile(r"[0-9@]|password|token|api_key|AKIA|(?:ghp|sk|pk)[-_]")
-_PERSON = re.compile(rf"(?<!\w)(?P<title>{_TITLE})[ ](?P<name>{_NAME}(?:[ ]{_NAME})?)")
 _VOWELS, _CONSONANTS = "aeiou", "bcdfghjklmnprstvwz"
 
 
@@ -62,6 +85,7 @@ class Mention(NamedTuple):
     start: int
     end: int
     canonical: str
+    opens: bool = True  # false for further names of one mention of a person
 
 
 def _digits(text: str) -> str:
@@ -78,16 +102,131 @@ def _canonical(kind: str, text: str) -> str:
     return text.replace(" ", "") if kind == "iban" else text
 
 
+def _name(word: str) -> str:
+    """The canonical form of a name: the same for all spellings of its letters, hyphens and apostrophes."""
+    plain = unicodedata.normalize("NFC", word) if not word.isascii() else word
+    return re.sub("[‐‑]", "-", re.sub("[’ʼ]", "'", plain)).casefold()
+
+
+def _titled(text: str) -> list[tuple[str, list[tuple[int, int, bool]]]]:
+    """Gender and names (start, end, whether an initial) of every mention behind a form of address."""
+    found, at = [], 0
+    while m := _TITLE.search(text, at):
+        gender, at = _GENDER[m["title"].rstrip(".")], m.end()
+        while rank := _RANK.match(text, at):
+            own = _GENDER.get(rank.group().strip().rstrip("."), "n")
+            gender, at = own if gender == "n" else gender, rank.end()
+        names, place = [], at
+        while True:
+            word, letter = _WORD.match(text, place), _INITIAL.match(text, place)
+            if not word or (names and _RANK.match(text, place)):
+                break
+            shown, gap = word.group(), _BETWEEN.match(text, word.end())
+            if letter and letter.end() == word.end() + 1 and not shown.islower() and len(_name(shown)) == 1:
+                names.append((word.start(), word.end(), True))
+                gap = _BETWEEN.match(text, letter.end())
+                place = gap.end() if gap else letter.end()
+                continue
+            if shown.islower():
+                if not (gap and shown in PARTICLES):
+                    break
+                place = gap.end()
+                continue
+            if len(_name(shown)) == 1 and (shown in "IA" or not gap):
+                break
+            names.append((word.start(), word.end(), len(_name(shown)) == 1 and not _alone(shown)))
+            if not gap:
+                break
+            place = gap.end()
+        while names and (names[-1][2] or _name(text[slice(*names[-1][:2])]) in SUFFIXES):
+            names.pop()
+        if names:
+            found.append((gender, names))
+            at = names[-1][1]
+    return found
+
+
+def _alone(name: str) -> bool:
+    # One character is a whole name in scripts without case.
+    return name.lower() == name.upper()
+
+
+def _persons(text: str) -> list[Mention]:
+    titled = _titled(text)
+    if not titled:
+        return []
+    # What the document says of each name: whether it is a family name, and of given names the gender.
+    families, given, initials = set(), {}, {}
+    for gender, names in titled:
+        *before, last = [_name(text[a:b]) for a, b, _ in names]
+        families.add(last)
+        for name, (_, _, initial) in zip(before, names, strict=False):
+            if not initial and given.get(name, "n") == "n":
+                given[name] = gender
+            if not initial:
+                initials.setdefault((name[0], last), name)
+    # A given name keeps its gender where a mention of the same person has none: the family's, if it has one only.
+    genders: dict[str, set[str]] = {}
+    for gender, names in titled:
+        if gender != "n":
+            genders.setdefault(_name(text[names[-1][0] : names[-1][1]]), set()).add(gender)
+    for gender, names in titled:
+        known = genders.get(_name(text[names[-1][0] : names[-1][1]]), set())
+        for a, b, _ in names[:-1]:
+            if given.get(_name(text[a:b])) == "n" and len(known) == 1:
+                given[_name(text[a:b])] = next(iter(known))
+
+    def entity(name: str) -> str:
+        return "person-family" if name in families else f"person-{given[name]}"
+
+    out, taken = [], set()
+    for gender, names in titled:
+        last = _name(text[names[-1][0] : names[-1][1]])
+        for k, (a, b, initial) in enumerate(names):
+            name = _name(text[a:b])
+            if initial:
+                whole = initials.get((name[0], last))
+                kind = f"initial-{gender}" if whole is None else f"initial-{entity(whole)}"
+                out.append(Mention(kind, a, b, whole or name, k == 0))
+            else:
+                out.append(Mention(entity(name), a, b, name, k == 0))
+            taken.add(a)
+    end = -1
+    for m in _WORD.finditer(text):
+        if m.start() in taken:
+            end = m.end()
+            continue
+        word = m.group()
+        if word.islower():
+            continue
+        parts = [(m.start(), m.end())]
+        if _known(word, families, given) is None:
+            parts = [(m.start() + p.start(), m.start() + p.end()) for p in re.finditer(r"[^-‐‑]+", word)]
+        for a, b in parts:
+            name = _known(text[a:b], families, given)
+            if name is not None and not text[a:b].islower() and (len(name) > 1 or _alone(name)):
+                b -= len(_name(text[a:b])) - len(name)
+                out.append(Mention(entity(name), a, b, name, not (a - 1 == end and text[end] in " \u00a0")))
+                end = b
+    return out
+
+
+def _known(word: str, families: set[str], given: dict[str, str]) -> str | None:
+    """The name that a word is, or is the genitive of."""
+    name = _name(word)
+    for form in (name, name[:-1] if name.endswith("s") else name):
+        if form in families or form in given:
+            return form
+    return None
+
+
 def mentions(text: str) -> list[Mention]:
     """Entities of a text in order, none inside another."""
     found = []
     if _MAY_HOLD.search(text):
         for m in _MARKED.finditer(text):
             found.append(Mention(m.lastgroup, m.start(), m.end(), _canonical(m.lastgroup, m.group())))
-    if any(t in text for t in ("M", "H", "F", "S", "D", "P", "г")):
-        for m in _PERSON.finditer(text):
-            gender = next(g for g, titles in TITLES.items() if m["title"] in titles)
-            found.append(Mention(f"person-{gender}", m.start("name"), m.end("name"), m["name"]))
+    found += _persons(text)
     found.sort(key=lambda m: (m.start, -m.end))
     apart, end = [], 0
     for m in found:
@@ -159,12 +298,11 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int) -> str:
     if kind == "iban":
         return canonical[:2] + "".join(_alike(c, s) for c in canonical[2:])
     if kind.startswith("person"):
-        script = "cyrillic" if any("а" <= c.lower() <= "я" for c in canonical) else "latin"
-        given, family = GIVEN[script, kind[-1]].split(), FAMILY[script].split()
-        words = canonical.split(" ")
-        name = given[s.below(len(given))] + " " if len(words) > 1 else ""
-        parts = [family[s.below(len(family))] for _ in range(1 + attempt // 4)]
-        return name + "-".join(parts)
+        script = "cyrillic" if any("а" <= c <= "я" for c in canonical) else "latin"
+        pool = (FAMILY[script] if kind == "person-family" else GIVEN[script, kind[-1]]).split()
+        return "-".join(pool[s.below(len(pool))] for _ in range(1 + attempt // 4))
+    if kind.startswith("initial"):
+        return "ABCDEFGHIJKLMNOPRSTVW"[s.below(21)]
     hexadecimal = all(c in "0123456789abcdef" for c in canonical)
     made = "".join("0123456789abcdef"[s.below(16)] if hexadecimal else _alike(c, s) for c in canonical)
     return "AKIA" + made[4:] + grown if canonical.startswith("AKIA") else made + grown
@@ -183,7 +321,18 @@ def formatted(mention: str, kind: str, made: str) -> str:
             else:
                 out.append(next(take, c) if c.isalnum() else c)
         return "".join(out)
-    return made.upper() if kind == "email" and mention.isupper() else made
+    shouted = kind == "email" or kind.startswith("person") and len(mention) > 1
+    return made.upper() if shouted and mention.isupper() else made
+
+
+def _of_initial(m: Mention) -> tuple[str, str]:
+    """The entity whose surrogate a mention shows: of an initial the name it stands for, where the document has it."""
+    return m.kind.removeprefix("initial-") if m.kind.startswith("initial-person") else m.kind, m.canonical
+
+
+def _entities(text: str) -> set[tuple[str, str]]:
+    """The entities of a text that need a surrogate of their own. An initial that stands alone can't have one."""
+    return {e for e in map(_of_initial, mentions(text)) if not e[0].startswith("initial")}
 
 
 def entities(docs: DataFrame) -> DataFrame:
@@ -192,7 +341,7 @@ def entities(docs: DataFrame) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = (t.as_py() or "" for t in batch.column("text"))
-            found = sorted({(m.kind, m.canonical) for t in texts for m in mentions(t)})
+            found = sorted({e for t in texts for e in _entities(t)})
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*found, strict=True)], ["kind", "canonical"])
 
@@ -200,17 +349,21 @@ def entities(docs: DataFrame) -> DataFrame:
 
 
 def _family(kind: str) -> str:
-    # One person's surrogate must differ from any other person's, whatever the form of address.
+    # A name's surrogate must differ from any other name's, given or family, whatever the form of address.
     return kind.split("-")[0]
 
 
+def _compared(kind: str, made: str) -> str:
+    return _name(made) if kind.startswith("person") else made
+
+
 def redrawn(known: DataFrame, key: bytes) -> DataFrame:
     """``kind``, ``canonical`` and ``attempt`` of the entities whose first surrogate is not theirs alone."""
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = list(zip(*[c.to_pylist() for c in batch.columns], strict=True))
-            made = [surrogate(key, *r) for r in rows]
+            made = [_compared(r[0], surrogate(key, *r)) for r in rows]
             columns = [*batch.columns, pa.array([_family(r[0]) for r in rows], pa.string()), pa.array(made, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["kind", "canonical", "attempt", "family", "made"])
 
@@ -258,12 +411,13 @@ def replace(docs: DataFrame, *, key: str, broadcast_rows: int = BROADCAST_ROWS)
                 local = {(a["kind"], a["canonical"]): a["attempt"] for a in attempts or ()}
                 out, end, found = [], 0, mentions(text) if text else []
                 for m in found:
-                    attempt = local.get((m.kind, m.canonical), drawn.get((m.kind, m.canonical), 0))
-                    made = surrogate(secret, m.kind, m.canonical, attempt)
+                    kind, canonical = entity = _of_initial(m)
+                    made = surrogate(secret, kind, canonical, local.get(entity, drawn.get(entity, 0)))
+                    made = made[0] if m.kind.startswith("initial") else made
                     out += [text[end : m.start], formatted(text[m.start : m.end], m.kind, made)]
                     end = m.end
                 texts.append("".join([*out, text[end:]]) if found else text)
-                counts.append(len(found))
+                counts.append(sum(m.opens for m in found))
             columns = list(batch.columns[:width])
             columns[at] = pa.array(texts, columns[at].type)
             yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64())], schema.names)
@@ -277,7 +431,7 @@ def _with_attempts(docs: DataFrame, again: DataFrame) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-            found = [(k, *e) for k, t in rows for e in sorted({(m.kind, m.canonical) for m in mentions(t or "")})]
+            found = [(k, *e) for k, t in rows for e in sorted(_entities(t or ""))]
             if found:
                 types = [pa.int64(), pa.string(), pa.string()]
                 columns = [pa.array(c, t) for c, t in zip(zip(*found, strict=True), types, strict=True)]

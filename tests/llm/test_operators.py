@@ -408,6 +408,42 @@ def test_surrogates_stay_distinct(spark, broadcast_rows):
     assert len(set(made)) == len(mails) and not set(made) & set(mails)
 
 
+@pytest.mark.parametrize(
+    ("text", "left"),
+    [
+        ("Frau Dr. Weber kam mit Herr Prof. Dr. Abelein-Müller.", "Frau Dr. # kam mit Herr Prof. Dr. #."),
+        ("Mr McDonald met Mr O'Brien and Mr Dvořák; McDonald's car.", "Mr # met Mr # and Mr #; #'s car."),
+        ("Mr Dvor\u030ca\u0301k and Mr John Fitzgerald Kennedy", "Mr # and Mr # # #"),
+        ("Mr Karl Weber, Mr Weber, Dr. Karl Weber. Weber left, KARL WEBER too.", "Mr # #, Mr #, Dr. # #. # left, # # too."),
+        ("Frau von der Leyen, Mr J. Smith Jr. said. Leyen and weber.", "Frau von der #, Mr #. # Jr. said. # and weber."),
+        ("Die Frau. Dann kam niemand. Mr the end", "Die Frau. Dann kam niemand. Mr the end"),
+    ],
+)
+def test_surrogates_find_whole_names(text, left):
+    out, end = [], 0
+    for m in surrogates.mentions(text):
+        out += [text[end : m.start], "#"]
+        end = m.end
+    assert "".join([*out, text[end:]]) == left
+
+
+def test_surrogates_of_one_person_agree(spark):
+    texts = [
+        "Mr Karl Weber met Mr Weber and Dr. Karl Weber. Weber left. Webers Haus. KARL WEBER",
+        "Mr Karl Weber and Mr Karl Dvořák. Mr John Fitzgerald Kennedy, J. Kennedy, Mr J. Kennedy",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["text"], r["n_replaced"]) for r in surrogates.replace(docs, key="k").collect()}
+    name = r"([\w-]+)"
+    found = re.fullmatch(rf"Mr {name} {name} met Mr {name} and Dr. {name} {name}. {name} left. {name} Haus. {name} {name}", got[0][0])
+    given, family = found[1], found[2]
+    assert found.groups() == (given, family, family, given, family, family, family + "s", given.upper(), family.upper())
+    assert got[0][1] == 6 and not {given, family} & {"Karl", "Weber"}
+    found = re.fullmatch(rf"Mr {name} {name} and Mr {name} {name}. Mr {name} {name} {name}, J. {name}, Mr (\w). {name}", got[1][0])
+    assert found.groups()[:3] == (given, family, given)
+    assert found[4] != family and found[8] == found[7] == found[10] and found[9] == found[5][0]
+
+
 def test_shingles_of_words():
     texts = ["A b  c\td", None, "", "a b c", "a b c d e", "ab c d e"]
     found = [len(s) for s in textarrays.shingles(pa.array(texts), 4)]
