@@ -244,6 +244,24 @@ def test_large_group_is_closed_by_turns(spark):
     assert got == brute_components(texts, 2, 85)
 
 
+def test_all_links_of_a_group(spark):
+    words = [f"w{k}" for k in range(40)]
+    texts = {k: " ".join([*words, f"x{k}"]) for k in range(15)} | {20: " ".join([*words, "x3"]), 30: "alone here", 31: None, 32: ""}
+    sets = {k: frozenset(zip(*[(t or "").split()[i:] for i in range(2)], strict=False)) for k, t in texts.items()}
+    near = {(a, b) for a in texts for b in texts if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    assert len(near) == 16 * 15 // 2
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    pairs, members = jaccard.links(docs, size=2, percent=85)
+    of = {}
+    for r in members.collect():
+        of.setdefault(r["cls"], []).append(r["doc_id"])
+    linked = [(x, y) for r in pairs.collect() for x in of[r["a"]] for y in of[r["b"]]]
+    linked += [(x, y) for same in of.values() for x in same for y in same if x < y]
+    assert Counter(tuple(sorted(p)) for p in linked) == Counter(near)
+    counts = {r["doc_id"]: r["n_links"] for r in jaccard.link_counts(docs, size=2, percent=85).collect()}
+    assert counts == {k: sum(k in p for p in near) for k in texts}
+
+
 def test_jaccard_odd_rows(odd, empty):
     rows = jaccard.groups(odd, size=4, percent=85).collect()
     assert len(rows) == odd.count()
