@@ -64,6 +64,39 @@ def resample(
     )
 
 
+def resample_all(
+    stream: DataFrame,
+    root: str,
+    *,
+    time: str,
+    value: str,
+    every: str,
+    keys: Sequence[str] = (),
+    lateness: str = "10 minutes",
+    gap: str | None = None,
+) -> DataFrame:
+    """Every window of all rows that have arrived: those of ``resample``, the open ones, and late rows in theirs.
+
+    Arrived rows are kept in ``rows`` below ``root``; the stream's own windows are read from them and written to
+    ``closed`` as the watermark passes. The result is the batch aggregate of the rows, with ``n_closed``, the count
+    that the stream wrote for a window; it is null for open windows and too small where rows came late.
+    """
+    spark = stream.sparkSession
+    frame = {"time": time, "value": value, "every": every, "keys": keys, "lateness": lateness, "gap": gap}
+    kept = stream.select(*keys, time, value)
+    drain(kept, f"{root}/rows", f"{root}/checkpoint/rows")
+    closed = resample(source(spark, f"{root}/rows", kept.schema), **frame)
+    drain(closed, f"{root}/closed", f"{root}/checkpoint/closed")
+    whole = resample(spark.read.schema(kept.schema).parquet(f"{root}/rows"), **frame)
+    names = [*keys, "start", "end"]
+    written = spark.read.schema(closed.schema).parquet(f"{root}/closed")
+    written = written.select(*[F.col(c).alias(f"__{c}") for c in names], F.col("n").alias("n_closed"))
+    same = F.lit(True)
+    for c in names:
+        same &= F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return whole.join(written, same, "left").select(*whole.columns, "n_closed")
+
+
 class AnomalyStream:
     """Scores arriving rows against the statistics of all rows of earlier runs.
 

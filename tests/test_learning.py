@@ -1,3 +1,5 @@
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -177,3 +179,19 @@ def test_anomaly_stream_merges_statistics(spark, tmp_path):
     std = (sum((v - mean) ** 2 for v in seen) / len(seen)) ** 0.5
     (only,) = stream.anomalies().collect()
     assert only.v == 100 and only.z == pytest.approx((100 - mean) / std, rel=1e-6)
+
+
+def test_resampled_stream_keeps_open_windows_and_late_rows(spark, tmp_path):
+    schema = "k string, ts timestamp, v double"
+
+    def arrive(rows):
+        rows = [(k, datetime.datetime(2024, 1, 1, hour, minute), v) for k, hour, minute, v in rows]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/incoming")
+        stream = streams.source(spark, f"{tmp_path}/incoming", spark.createDataFrame([], schema).schema)
+        out = streams.resample_all(stream, f"{tmp_path}/out", time="ts", value="v", every="1 hour", keys=["k"])
+        return {(r["k"], r["start"].hour): (r["mean"], r["n"], r["n_closed"]) for r in out.collect()}
+
+    first = arrive([("a", 0, 5, 1.0), ("a", 0, 50, 3.0), ("a", 3, 0, 5.0), (None, 0, 1, 7.0)])
+    assert first == {("a", 0): (2.0, 2, 2), ("a", 3): (5.0, 1, None), (None, 0): (7.0, 1, 1)}
+    second = arrive([("a", 0, 30, 8.0), ("a", 5, 0, 9.0)])
+    assert second == {("a", 0): (4.0, 3, 2), ("a", 3): (5.0, 1, 1), ("a", 5): (9.0, 1, None), (None, 0): (7.0, 1, 1)}
