@@ -386,6 +386,32 @@ def test_perplexity(spark, shard_rows):
     assert all(r["perplexity"] is None for r in got if r["doc_id"] in (3, 4))
 
 
+def test_perplexity_tells_characters_of_any_script_apart(spark):
+    text = "漢字仮名交じり文は日本語の表記法である。" * 3
+    other = "".join(chr(ord(c) + 2048) for c in text)
+    model = kneser_ney.train(spark.createDataFrame([("ja", text), ("ja", "한국어 문장")], "lang string, text string"))
+    docs = spark.createDataFrame([(1, "ja", text), (2, "ja", other), (3, "ja", "😀" + text)], "doc_id long, lang string, text string")
+    got = {r["doc_id"]: r["perplexity"] for r in kneser_ney.perplexities(docs, model).collect()}
+    assert got[1] < 5 and got[2] > 3 * got[1] and got[3] > got[1]
+    probability = brute_kneser_ney([text, "한국어 문장"])
+    for key, value in ((1, text), (2, other), (3, "😀" + text)):
+        padded = [0] * (kneser_ney.ORDER - 1) + [ord(c) for c in value]
+        logs = [np.log(probability(tuple(padded[i : i + kneser_ney.ORDER]))) for i in range(len(value))]
+        assert got[key] == pytest.approx(np.exp(-np.mean(logs)), rel=1e-4)
+
+
+@pytest.mark.parametrize("spread", [1, 60_000])
+def test_counts_of_many_different_characters(spread):
+    points = np.random.default_rng(3).integers(0x4E00, 0x4E00 + spread, 9000)
+    texts = ["".join(map(chr, points[k : k + 1500])) for k in range(0, 9000, 1500)] + ["", "é"]
+    if spread > 1:
+        texts = [t.encode("utf-32-le", "replace").decode("utf-32-le") for t in texts]
+    f, g, many = kneser_ney._counted(*kneser_ney.codes(texts))
+    want = Counter(zip(*(x.tolist() for x in kneser_ney.grams(*kneser_ney.codes(texts))), strict=True))
+    assert dict(zip(zip(f.tolist(), g.tolist(), strict=True), many.tolist(), strict=True)) == want
+    assert sum(want.values()) == sum(map(len, texts))
+
+
 def test_quality_keeps_clean_text(spark, folder, odd, empty):
     rows = queries.QUERIES["op2_kneser_ney_quality"](spark, folder).collect()
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
