@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import chunk_dedup, decontaminate, feistel, jaccard, kneser_ney, line_dedup, packing, surrogates, token_files, toxicity
+from marlstone.llm import (
+    chunk_dedup,
+    decontaminate,
+    feistel,
+    filter_audit,
+    jaccard,
+    kneser_ney,
+    line_dedup,
+    merkle,
+    packing,
+    surrogates,
+    token_files,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -206,3 +219,108 @@ def op2_kneser_ney_quality(spark: SparkSession, folder: str) -> DataFrame:
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     docs = documents(spark, folder).select("doc_id", "lang", "text")
     return kneser_ney.classify(docs, labels.where("quality = 1"))
+
+
+MERKLE_SQL = """
+WITH RECURSIVE p AS (
+  SELECT doc_id, source, text, CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END AS tree,
+         CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id END
+         || CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END
+         || CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END
+         || CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars END AS head,
+         xor(list_reduce(list_concat([4294967295], list_transform(range(0, 8 * length(CAST(doc_id AS VARCHAR))),
+           lambda i: (ascii(CAST(doc_id AS VARCHAR)[i // 8 + 1]) >> (i % 8)) & 1)),
+           lambda a, b: CASE WHEN xor(a, b) & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END), 4294967295) % 5 = 0 AS hit
+  FROM documents),
+c AS (
+  SELECT *, CASE WHEN hit THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS other
+  FROM p),
+l AS (
+  SELECT doc_id, source, tree, sha256(head || CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END) AS leaf,
+         sha256(head || CASE WHEN text IS NULL THEN '-' ELSE strlen(other) || ':' || other END) AS claimed
+  FROM c),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+         count(*) OVER (PARTITION BY tree) AS n FROM l),
+up AS (
+  SELECT 0 AS level, tree, place, n, leaf AS d FROM o
+  UNION ALL
+  SELECT level + 1, tree, place // 16, (n + 15) // 16, sha256(string_agg(d, '' ORDER BY place)) FROM up
+  WHERE n > 1 GROUP BY level, tree, place // 16, n),
+sub AS (
+  SELECT s.tree, s.d, row_number() OVER (ORDER BY t.source NULLS FIRST) - 1 AS place, count(*) OVER () AS n
+  FROM up s JOIN (SELECT DISTINCT tree, source FROM l) t USING (tree) WHERE s.n = 1),
+top AS (
+  SELECT 0 AS level, place, n, d FROM sub
+  UNION ALL
+  SELECT level + 1, place // 16, (n + 15) // 16, sha256(string_agg(d, '' ORDER BY place)) FROM top
+  WHERE n > 1 GROUP BY level, place // 16, n),
+runs AS (
+  SELECT level, tree, place // 16 AS parent, string_agg(d, '' ORDER BY place) AS run FROM up WHERE n > 1 GROUP BY ALL
+  UNION ALL
+  SELECT 1000 + level, '', place // 16, string_agg(d, '' ORDER BY place) FROM top WHERE n > 1 GROUP BY ALL),
+f AS (
+  SELECT doc_id, leaf, claimed AS d, '' AS proof, tree AS source, tree, place, n, 0 AS level FROM o
+  UNION ALL
+  SELECT doc_id, leaf,
+         CASE WHEN f.n > 1 THEN sha256(run[:64 * (f.place % 16)] || f.d || run[64 * (f.place % 16) + 65:]) ELSE f.d END,
+         CASE WHEN f.n > 1 THEN proof || run[:64 * (f.place % 16)] || run[64 * (f.place % 16) + 65:] ELSE proof END,
+         f.source, CASE WHEN f.n > 1 THEN f.tree ELSE '' END, CASE WHEN f.n > 1 THEN f.place // 16 ELSE sub.place END,
+         CASE WHEN f.n > 1 THEN (f.n + 15) // 16 ELSE sub.n END, CASE WHEN f.n > 1 THEN f.level + 1 ELSE 1000 END
+  FROM f LEFT JOIN runs ON runs.level = f.level AND runs.tree = f.tree AND runs.parent = f.place // 16
+  LEFT JOIN sub ON sub.tree = f.tree
+  WHERE f.n > 1 OR f.level < 1000)
+SELECT f.doc_id, f.leaf, sub.d AS subroot, r.d AS root, sha256(f.proof) AS proof_sha256, f.d AS folded_root,
+       f.d = r.d AS verified
+FROM f JOIN sub ON sub.tree = f.source CROSS JOIN (SELECT d FROM top WHERE n = 1) r WHERE f.n = 1 AND f.level >= 1000
+"""
+
+
+@query(sql=MERKLE_SQL)
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return merkle.manifest(merkle.document_leaves(documents(spark, folder), tampered))
+
+
+AUDIT_SQL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS x,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+m AS (
+  SELECT doc_id, part, CASE WHEN len(w) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * length(regexp_replace(x, '[^A-Z]', '', 'g')) > 2 * length(x) THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(x, '[#$%&*|]') THEN 8 ELSE 0 END
+         + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY x) THEN 16 ELSE 0 END AS failed FROM t),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+g AS (
+  SELECT part, failed, count(*) AS n, count_if(good) AS good, count_if(toxic) AS toxic
+  FROM m LEFT JOIN l USING (doc_id) GROUP BY part, failed),
+a AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS b),
+o AS (
+  SELECT a1.f || a2.f || a3.f || a4.f || a5.f AS filter_order, [a1.b, a2.b, a3.b, a4.b, a5.b] AS bits
+  FROM a a1, a a2, a a3, a a4, a a5 WHERE a1.b + a2.b + a3.b + a4.b + a5.b = 31
+  AND len(list_distinct([a1.b, a2.b, a3.b, a4.b, a5.b])) = 5),
+s AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, bits[step] AS own, coalesce(list_sum(bits[1:step - 1]), 0)::BIGINT AS before
+  FROM (SELECT filter_order, bits, unnest(range(1, 6)) AS step FROM o)),
+r AS (
+  SELECT part, filter_order, step, own, sum(CASE WHEN failed & (before | own) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN failed & before = 0 AND failed & own <> 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN failed & before <> 0 AND failed & own <> 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN failed = own THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN failed & before = 0 AND failed & own <> 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN failed & before = 0 AND failed & own <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM g, s GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM r
+"""
+
+
+@query(sql=AUDIT_SQL)
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    traits = {"good": F.col("quality") == 1, "toxic": F.col("toxic") == 1}
+    failed = filter_audit.labelled(filter_audit.failures(documents(spark, folder)), labels, traits)
+    return filter_audit.audit(failed, "ABCDE", list(traits))
