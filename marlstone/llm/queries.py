@@ -19,6 +19,7 @@ from marlstone.llm import (
     packing,
     surrogates,
     token_files,
+    topk_search,
     toxicity,
 )
 
@@ -324,3 +325,23 @@ def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     traits = {"good": F.col("quality") == 1, "toxic": F.col("toxic") == 1}
     failed = filter_audit.labelled(filter_audit.failures(documents(spark, folder)), labels, traits)
     return filter_audit.audit(failed, "ABCDE", list(traits))
+
+
+SEARCH_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM s
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 20
+"""
+
+
+@query(sql=SEARCH_SQL)
+def op13_exact_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    embeddings = spark.read.parquet(f"{folder}/embeddings.parquet")
+    vectors = topk_search.whole_vectors(embeddings, id="vec_id", vec="embedding", scale=64)
+    return topk_search.search(vectors, F.col("id") % 20 == 0, k=20)
