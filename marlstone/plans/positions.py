@@ -50,17 +50,7 @@ def with_position(
 def _position_by_slices(
     df: DataFrame, keys: list[str], order_by: list[str], name: str, group_rows: int
 ) -> DataFrame:
-    spark = df.sparkSession
-    rows = df.count()
-    slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // group_rows), 1)
-    sort_keys = [*keys, *order_by]
-    # Slice ids come from sampled bounds, so the cut is written once and read twice.
-    cut = durable(
-        df.repartitionByRange(slices, *sort_keys)
-        .sortWithinPartitions(*sort_keys)
-        .withColumn(_SLICE, F.spark_partition_id())
-        .withColumn(_AT, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-    )
+    cut = _sliced(df, [*keys, *order_by], group_rows)
     parts = cut.groupBy(*keys, _SLICE).agg(
         F.count(F.lit(1)).alias(_ROWS), F.min(_AT).alias("__first")
     )
@@ -77,9 +67,22 @@ def _position_by_slices(
     return placed.withColumn(name, F.col(_AT) + F.col(_START)).select(*df.columns, name)
 
 
-def _null_safe_join(cut: DataFrame, starts: DataFrame, keys: list[str]) -> DataFrame:
+def _sliced(df: DataFrame, sort_keys: list[str], group_rows: int) -> DataFrame:
+    """``df`` cut into sorted ranges: the slice of each row and its place there."""
+    rows = df.count()
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Slice ids come from sampled bounds, so the cut is written once and read twice.
+    return durable(
+        df.repartitionByRange(max(least, -(-rows // group_rows), 1), *sort_keys)
+        .sortWithinPartitions(*sort_keys)
+        .withColumn(_SLICE, F.spark_partition_id())
+        .withColumn(_AT, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    )
+
+
+def _null_safe_join(cut: DataFrame, starts: DataFrame, keys: list[str], carried: Sequence[str] = (_START,)) -> DataFrame:
     right = starts.select(
-        *[F.col(k).alias(f"__r_{k}") for k in keys], F.col(_SLICE).alias("__r_slice"), _START
+        *[F.col(k).alias(f"__r_{k}") for k in keys], F.col(_SLICE).alias("__r_slice"), *carried
     )
     same = F.col(_SLICE) == F.col("__r_slice")
     for key in keys:
@@ -87,6 +90,34 @@ def _null_safe_join(cut: DataFrame, starts: DataFrame, keys: list[str]) -> DataF
     return cut.join(right, same)
 
 
+def sums_before(
+    df: DataFrame,
+    *,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    sums: dict[str, Column],
+    group_rows: int = GROUP_ROWS,
+) -> DataFrame:
+    """Add, per name of ``sums``, the sum of its column over the group's earlier rows (0 before the first).
+
+    ``order_by`` must be unique in a group. A hot group is cut into sorted slices: running sums stay inside a
+    slice, and what lies before it comes from one row per group and slice. Null keys form a group.
+    """
+    if largest_group(df, keys) <= group_rows:
+        return df.withColumns(_running(sums, list(keys), list(order_by)))
+    cut = _sliced(df, [*keys, *order_by], group_rows)
+    parts = cut.groupBy(*keys, _SLICE).agg(*[F.sum(c).alias(f"__sum_{n}") for n, c in sums.items()])
+    earlier = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select(*keys, _SLICE, *[F.coalesce(F.sum(f"__sum_{n}").over(earlier), F.lit(0)).alias(f"__from_{n}") for n in sums])
+    placed = _null_safe_join(cut, starts, list(keys), [f"__from_{n}" for n in sums])
+    within = placed.withColumns(_running(sums, [*keys, _SLICE], list(order_by)))
+    return within.select(*df.columns, *[(F.col(n) + F.col(f"__from_{n}")).alias(n) for n in sums])
+
+
+def _running(sums: dict[str, Column], keys: list[str], order_by: list[str]) -> dict[str, Column]:
+    before = Window.partitionBy(*keys).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
+    return {n: F.coalesce(F.sum(c).over(before), F.lit(0)) for n, c in sums.items()}
+
 def over_trailing_rows(
     df: DataFrame,
     *,

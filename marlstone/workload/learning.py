@@ -233,23 +233,17 @@ def stream_ingest(spark, folder):
 @query(
     "stream_resample",
     """
-    WITH edge AS (SELECT max(ts) - INTERVAL 10 MINUTE AS mark FROM events)
     SELECT event_type, CAST(epoch(time_bucket(INTERVAL 6 HOUR, ts)) AS BIGINT) AS start, round(avg(value), 6) AS mean,
            count(*) AS n
-    FROM events, edge GROUP BY event_type, time_bucket(INTERVAL 6 HOUR, ts), mark
-    HAVING time_bucket(INTERVAL 6 HOUR, ts) + INTERVAL 6 HOUR <= mark
+    FROM events GROUP BY event_type, time_bucket(INTERVAL 6 HOUR, ts)
     """,
 )
 def stream_resample(spark, folder):
-    """Windows the watermark has passed once the stream is drained."""
-    root = scratch_path(spark, "resample")
-    means = streams.resample(
-        _event_stream(spark, folder), time="ts", value="value", every="6 hours", keys=["event_type"]
-    )
-    streams.drain(means, f"{root}/table", f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/table").select(
-        "event_type", F.unix_seconds("start").alias("start"), F.round("mean", 6).alias("mean"), "n"
+    """Every window of the drained stream, the open ones too."""
+    means = streams.resample_all(
+        _event_stream(spark, folder), scratch_path(spark, "resample"), time="ts", value="value", every="6 hours", keys=["event_type"]
     )
+    return means.select("event_type", F.unix_seconds("start").alias("start"), F.round("mean", 6).alias("mean"), "n")
 
 
 def _arrivals(rows, incoming, month):
@@ -263,23 +257,23 @@ def _arrivals(rows, incoming, month):
 @query(
     "stream_anomalies",
     """
-    WITH e AS (SELECT *, date_trunc('week', ts) AS w FROM events),
-    scored AS (
-      SELECT e.event_id, e.user_id, e.value, count(*) AS n, avg(o.value) AS m, stddev_pop(o.value) AS d
-      FROM e JOIN e o ON e.user_id = o.user_id AND o.w < e.w GROUP BY e.event_id, e.user_id, e.value)
+    WITH scored AS (
+      SELECT event_id, user_id, value, count(*) OVER w AS n, avg(value) OVER w AS m, stddev_pop(value) OVER w AS d
+      FROM events WINDOW w AS (
+        PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
     SELECT user_id, event_id, value, round((value - m) / (d + 1e-9), 5) AS z FROM scored
     WHERE n >= 5 AND abs((value - m) / (d + 1e-9)) > 3
     """,
 )
 def stream_anomalies(spark, folder):
-    """Each week's events against the weeks before it."""
+    """Each event against all events of its user before it, arriving week by week, by a new stream object each week."""
     rows = table(spark, folder, "events").select("user_id", "event_id", "ts", "value")
     root = scratch_path(spark, "anomalies")
-    stream = streams.AnomalyStream(
-        spark, f"{root}/incoming", root, rows.schema, series=["user_id"], value="value"
-    )
     week = F.date_trunc("week", F.col("ts").cast("timestamp"))
     for _ in _arrivals(rows, f"{root}/incoming", week):
+        stream = streams.AnomalyStream(
+            spark, f"{root}/incoming", root, rows.schema, series=["user_id"], value="value", order_by=["ts", "event_id"]
+        )
         stream.advance()
     return stream.anomalies().select("user_id", "event_id", "value", F.round("z", 5).alias("z"))
 

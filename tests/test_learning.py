@@ -164,21 +164,111 @@ def test_ingest_is_incremental(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(f"{root}/t").collect()) == list(range(20))
 
 
-def test_anomaly_stream_merges_statistics(spark, tmp_path):
-    schema = "k string, v double"
-    incoming = str(tmp_path / "in")
-    stream = streams.AnomalyStream(
-        spark, incoming, str(tmp_path / "out"), spark.createDataFrame([], schema).schema, series=["k"], value="v"
-    )
-    batches = [[1.0, 2.0, 3.0], [4.0, 2.0, 2.0, 3.0], [100.0, 2.5]]
+ANOMALY_SCHEMA = "k string, at long, v double"
+
+
+def anomaly_stream(spark, folder, **options):
+    schema = spark.createDataFrame([], ANOMALY_SCHEMA).schema
+    return streams.AnomalyStream(spark, f"{folder}/in", f"{folder}/out", schema, series=["k"], value="v", order_by=["at"], **options)
+
+
+def expected_scores(batches, min_rows=5):
+    """Each row against all rows of its series before it, by hand."""
+    seen, out = {}, []
     for batch in batches:
-        spark.createDataFrame([("a", v) for v in batch], schema).write.mode("append").parquet(incoming)
+        for k, at, v in sorted(batch, key=lambda r: r[1]):
+            own = [x for x in seen.setdefault(k, []) if x is not None]
+            z = None
+            if v is not None and len(own) >= min_rows:
+                mean = sum(own) / len(own)
+                z = (v - mean) / ((sum((x - mean) ** 2 for x in own) / len(own)) ** 0.5 + streams.SIGMA_FLOOR)
+            out.append((k, at, v, z))
+            seen[k].append(v)
+    return out
+
+
+def scored_rows(stream):
+    return sorted(((r.k, r.at, r.v, r.z) for r in stream.scored().collect()), key=lambda r: (r[0] or "", r[1]))
+
+
+def same_scores(found, batches):
+    want = sorted(expected_scores(batches), key=lambda r: (r[0] or "", r[1]))
+    assert [r[:3] for r in found] == [r[:3] for r in want]
+    for got, expected in zip(found, want, strict=True):
+        assert got[3] == (None if expected[3] is None else pytest.approx(expected[3], rel=1e-7, abs=1e-7))
+
+
+ARRIVALS = [
+    [("a", k, 1000.0 + k % 4) for k in range(7)] + [(None, k, float(k)) for k in range(6)] + [("b", 0, None), ("b", 1, 2.0)],
+    [("a", k, 1000.0 + k % 3) for k in range(10, 19)] + [("a", 19, None), ("b", 3, 4.0), (None, 9, 50.0)],
+    [("a", 30, 1500.0), ("a", 31, 1001.0), ("c", 1, 1.0)],
+]
+
+
+def arrive(spark, folder, rows, schema=ANOMALY_SCHEMA):
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+
+
+@pytest.mark.parametrize("options", [{}, {"group_rows": 2}, {"files_per_batch": 1}], ids=["windows", "slices", "files"])
+def test_anomaly_stream_goes_on_in_a_new_object(spark, tmp_path, options):
+    for rows in ARRIVALS:
+        arrive(spark, tmp_path, rows)
+        stream = anomaly_stream(spark, tmp_path, **options)
+        stream.advance()
+    same_scores(scored_rows(stream), ARRIVALS)
+    assert {("a", 1500.0), (None, 50.0)} <= {(r.k, r.v) for r in stream.anomalies().collect()}
+
+
+def test_anomaly_batch_replayed_after_a_crash(spark, tmp_path, monkeypatch):
+    arrive(spark, tmp_path, ARRIVALS[0])
+    anomaly_stream(spark, tmp_path).advance()
+    arrive(spark, tmp_path, ARRIVALS[1])
+    fold = streams.AnomalyStream.fold
+
+    def ends_late(self, rows, batch):
+        fold(self, rows, batch)
+        raise RuntimeError("the driver is lost after the batch wrote its tables")
+
+    monkeypatch.setattr(streams.AnomalyStream, "fold", ends_late)
+    with pytest.raises(Exception, match="driver is lost"):
+        anomaly_stream(spark, tmp_path).advance()
+    monkeypatch.setattr(streams.AnomalyStream, "fold", fold)
+    arrive(spark, tmp_path, ARRIVALS[2])
+    stream = anomaly_stream(spark, tmp_path)
+    stream.advance()
+    same_scores(scored_rows(stream), ARRIVALS)
+
+
+STATE_SCHEMA = "key string, value string, seq long, extra map<string,string>"
+
+
+def state_stream(spark, folder):
+    schema = spark.createDataFrame([], STATE_SCHEMA).schema
+    return streams.StateStream(spark, f"{folder}/in", f"{folder}/out", schema, key="key", order_by=["seq"], buckets=4)
+
+
+def test_state_stream_upserts_into_a_snapshot(spark, tmp_path):
+    batches = [
+        [("a", "one", 1, {"x": "y"}), ("b", "two", 9, None), (None, "null", 1, None), ("a", "three", 3, None)],
+        [("a", "late", 2, None), ("b", "ten", 10, None), ("c", None, 1, None)],
+        [],
+        [(None, "again", 5, None)],
+    ]
+    last = {}
+    for rows in batches:
+        arrive(spark, tmp_path, rows, STATE_SCHEMA)
+        stream = state_stream(spark, tmp_path)
         stream.advance()
-    seen = [v for b in batches[:2] for v in b]
-    mean = sum(seen) / len(seen)
-    std = (sum((v - mean) ** 2 for v in seen) / len(seen)) ** 0.5
-    (only,) = stream.anomalies().collect()
-    assert only.v == 100 and only.z == pytest.approx((100 - mean) / std, rel=1e-6)
+        for key, value, seq, _ in rows:
+            if key not in last or seq > last[key][1]:
+                last[key] = value, seq
+        assert {r.key: (r.value, r.seq) for r in stream.latest().collect()} == last
+    files = {f for f in stream.latest().inputFiles()}
+    assert files and all("/out/snapshot/" in f for f in files)
+    # A batch folded twice, whole or late, changes nothing.
+    for batch in (0, 1, 7):
+        stream.fold(spark.createDataFrame(batches[batch % 2], STATE_SCHEMA), batch)
+        assert {r.key: (r.value, r.seq) for r in stream.latest().collect()} == last
 
 
 def test_resampled_stream_keeps_open_windows_and_late_rows(spark, tmp_path):
