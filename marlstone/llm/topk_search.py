@@ -185,8 +185,8 @@ class _Search:
             pairs = pairs[:, pairs[0] >= 0]
             number, place = pairs[0] // SLICE, pairs[0] % SLICE
             keys = (pairs[1] * SLICE + place).astype(np.int32)
-            starts = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]])) if len(number) else []
-            rows = [(g, int(number[a]), keys[a:b].tobytes(), None, None) for a, b in zip(starts, [*starts[1:], len(number)], strict=True)]
+            edges = [0, *(np.flatnonzero(number[1:] != number[:-1]) + 1).tolist(), len(number)] if len(number) else []
+            rows = [(g, int(number[a]), keys[a:b].tobytes(), None, None) for a, b in zip(edges, edges[1:], strict=False)]
             query = np.arange(sums.shape[1], dtype=np.int64) + chunk * CHUNK
             rows.append((g, None, None, query.tobytes(), (sums // np.maximum(seen, 1)[:, None]).tobytes()))
             return pa.Table.from_batches([_rows(listed, rows)])

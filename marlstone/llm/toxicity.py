@@ -10,7 +10,7 @@ are left out and letters standing alone one after another are joined before comp
 from __future__ import annotations
 
 import itertools
-
+import sys
 import unicodedata
 from collections.abc import Iterator, Sequence
 
@@ -27,9 +27,14 @@ SPAN = 5
 LONGEST = 32
 LEAST_SIMILAR = 0.5
 CERTAIN = 3.0
-REMEMBERED = 1_000_000
+# What a worker keeps of tokens it has met, and about what a dictionary entry takes besides its key and record.
+REMEMBERED_BYTES = 64_000_000
+ENTRY_BYTES = 120
 GROUP = 64
+GROUP_CHARS = 2_000_000
 TASKS = 48
+_RECORD = np.dtype([("at", "<u2"), ("value", "<f4")])
+_SINGLE = b"\0"  # a single letter like no landmark
 # Look-alike signs are read as the letters they stand for.
 _ALIKE = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"})
 _STEPS = [s for s in itertools.product(range(1, SPAN), repeat=2) if sum(s) < SPAN]
@@ -132,17 +137,23 @@ class Kernel:
 
 
 class Reader:
-    """Landmark values of texts; what it knows of a word serves all texts of a Python worker."""
+    """Landmark values of texts; what it knows of a token serves all texts of a Python worker.
 
-    def __init__(self, landmarks: Sequence[str]):
+    A token's record lists only the landmarks it is like. Records are kept in two generations of bounded size: when
+    the younger is full it becomes the older, and what is met again moves to the younger, so common tokens stay and
+    tokens met once go.
+    """
+
+    def __init__(self, landmarks: Sequence[str], most_bytes: int = REMEMBERED_BYTES):
         self.kernel = Kernel(landmarks)
-        self._forget()
+        self.most_bytes = most_bytes
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.held = 0
 
-    def _forget(self) -> None:
-        self.number: dict[str, int] = {}  # 0: like no landmark; else a row of values
-        self.single: set[int] = {1}
-        self.values = np.zeros((1024, len(self.kernel.landmarks)), np.float32)
-        self.rows = 2  # row 1: a single letter like no landmark
+    def _keep(self, token: str, record: bytes) -> None:
+        self.young[token] = record
+        self.held += sys.getsizeof(token) + sys.getsizeof(record) + ENTRY_BYTES
 
     def _learn(self, tokens: Sequence[str]) -> None:
         for at in range(0, len(tokens), 2048):
@@ -154,53 +165,73 @@ class Reader:
         flat = [u for p in parts for u in p]
         found = self.kernel(flat) if flat else np.zeros((0, len(self.kernel.landmarks)))
         found = np.where(found >= LEAST_SIMILAR, found, 0).astype(np.float32)
+        alike = found.any(axis=1)
         at = 0
         for token, word, own in zip(tokens, spelled, parts, strict=True):
-            best = found[at : at + len(own)].max(axis=0) if own else None
+            record = _SINGLE if len(word) == 1 else b""
+            if alike[at : at + len(own)].any():
+                best = found[at : at + len(own)].max(axis=0)
+                where = np.flatnonzero(best)
+                values = np.empty(len(where), _RECORD)
+                values["at"], values["value"] = where, best[where]
+                record = values.tobytes()
             at += len(own)
-            number = 1 if len(word) == 1 else 0
-            if best is not None and best.any():
-                number = self.rows
-                if self.rows == len(self.values):
-                    self.values = np.concatenate([self.values, np.zeros_like(self.values)])
-                self.values[number] = best
-                self.rows += 1
-            self.number[token] = number
-
-    def _numbers(self, tokens: list[str]) -> np.ndarray:
-        numbers = list(map(self.number.get, tokens))
-        if None in numbers:
-            new = [t for t, n in zip(tokens, numbers, strict=True) if n is None]
-            self._learn(list(dict.fromkeys(new)))
-            numbers = list(map(self.number.__getitem__, tokens))
-        return np.array(numbers, np.int64)
+            self._keep(token, record)
+
+    def _records(self, tokens: list[str]) -> list[bytes]:
+        records = list(map(self.young.get, tokens))
+        if None in records:
+            new = []
+            for token in dict.fromkeys(t for t, r in zip(tokens, records, strict=True) if r is None):
+                known = self.old.get(token)
+                if known is None:
+                    new.append(token)
+                else:
+                    self._keep(token, known)
+            self._learn(new)
+            records = list(map(self.young.__getitem__, tokens))
+        return records
 
     def read(self, texts: Sequence[str | None]) -> Iterator[np.ndarray]:
         """The largest value of any word of each text, for each landmark; zeros for a text without words."""
-        for at in range(0, len(texts), GROUP):
-            if len(self.number) > REMEMBERED:
-                self._forget()
-            split = [(t or "").split() for t in texts[at : at + GROUP]]
-            numbers = self._numbers(list(itertools.chain.from_iterable(split)))
+        for group in _groups(texts):
+            if self.held > self.most_bytes // 2:
+                self.old, self.young, self.held = self.young, {}, 0
+            split = [(t or "").split() for t in group]
+            records = self._records(list(itertools.chain.from_iterable(split)))
             begin = 0
             for tokens in split:
-                own = numbers[begin : begin + len(tokens)]
+                own = records[begin : begin + len(tokens)]
                 begin += len(tokens)
-                alike = np.unique(own[own > 1]).tolist()
-                if np.count_nonzero(own == 1) >= 3:
-                    joined = self._numbers(_joined(tokens, own)).tolist()
-                    alike = sorted({*alike, *(n for n in joined if n > 1)})
-                if alike:
-                    yield self.values[alike].max(axis=0)
-                else:
-                    yield np.zeros(len(self.kernel.landmarks), np.float32)
-
-
-def _joined(tokens: list[str], numbers: np.ndarray) -> list[str]:
+                alike = set(own)
+                if _SINGLE in alike and own.count(_SINGLE) >= 3:
+                    alike.update(self._records(_joined(tokens, own)))
+                found = np.frombuffer(b"".join(alike - {_SINGLE}), _RECORD)
+                best = np.zeros(len(self.kernel.landmarks), np.float32)
+                np.maximum.at(best, found["at"], found["value"])
+                yield best
+
+
+def _groups(texts: Sequence[str | None]) -> Iterator[list[str | None]]:
+    """Runs of at most ``GROUP`` texts and ``GROUP_CHARS`` characters, or one longer text."""
+    group: list[str | None] = []
+    chars = 0
+    for text in texts:
+        size = len(text or "")
+        if group and (len(group) == GROUP or chars + size > GROUP_CHARS):
+            yield group
+            group, chars = [], 0
+        group.append(text)
+        chars += size
+    if group:
+        yield group
+
+
+def _joined(tokens: list[str], records: list[bytes]) -> list[str]:
     """Words spelled in three or more letters that stand alone one after another."""
     words, run = [], []
-    for token, number in zip([*tokens, ""], [*numbers.tolist(), 0], strict=True):
-        if number == 1:
+    for token, record in zip([*tokens, ""], [*records, b""], strict=True):
+        if record == _SINGLE:
             run.append(letters(token))
             continue
         if len(run) >= 3:

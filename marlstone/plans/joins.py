@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +12,16 @@ from pyspark.sql import functions as F
 from marlstone.plans.durable import durable
 
 BROADCAST_ROWS = 500_000
-SALTS = 32
+BROADCAST_BYTES = 64_000_000
+HEAVY_ROWS = 1_000_000
+
+
+def fits_broadcast(table: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether a written table has at most so many rows, and values of at most so many bytes as text."""
+    if table.count() > rows:
+        return False
+    width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in table.columns])))
+    return (table.agg(F.sum(width.cast("long"))).first()[0] or 0) <= size
 
 
 def attach(
@@ -20,18 +31,30 @@ def attach(
     *,
     how: str = "left",
     broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """``rows`` joined with ``table`` (one narrow row per key, ``how`` inner or left).
 
-    The table is computed once into the shared folder and counted. Small tables are
-    broadcast; larger ones are copied once per salt, so that a key holding a large
-    share of ``rows`` is spread over ``salts`` tasks, each of which AQE can split again.
+    The table is computed once into the shared folder and measured. Small tables are broadcast. For larger ones the
+    rows are counted by key: keys of more than ``heavy_rows`` rows, of which there can be only few, stay where they
+    are and meet a broadcast of their own part of the table, and all other keys are shuffled. Nothing is copied per
+    key, and columns of any type pass through. A null key matches nothing; such rows are not shuffled either.
     """
     known = durable(table)
-    if known.count() <= broadcast_rows:
-        return rows.join(F.broadcast(known), list(on), how)
-    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
-    copies = known.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    joined = rows.withColumn("__salt", spread).join(copies, [*on, "__salt"], how)
-    return joined.drop("__salt")
+    keys = list(on)
+    if fits_broadcast(known, broadcast_rows):
+        return rows.join(F.broadcast(known), keys, how)
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    heavy = durable(counts.where(F.col("__rows") > heavy_rows).select(*keys))
+    whole = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    keyed = rows.where(whole)
+    if heavy.isEmpty():
+        joined = keyed.join(known, keys, how)
+    else:
+        few = F.broadcast(heavy)
+        light = keyed.join(few, keys, "left_anti").join(known, keys, how)
+        hot = keyed.join(few, keys, "left_semi").join(F.broadcast(known.join(few, keys, "left_semi")), keys, how)
+        joined = light.unionByName(hot)
+    if how == "inner":
+        return joined
+    return joined.unionByName(rows.where(~whole), allowMissingColumns=True)

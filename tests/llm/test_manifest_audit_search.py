@@ -198,7 +198,7 @@ def test_search_of_little(spark):
     assert search(spark, [(0, [1.0])], 20) == Counter()
     assert search(spark, [(1, [1.0]), (2, [2.0])], 20) == Counter()
     assert search(spark, ODD_VECTORS[:5], 20) == Counter()
-    large = [(k * 10, [float(k * 3e6), 7.0, -1e5]) for k in range(30)]
+    large = [(k * 10, [float(k * 1e5), 7.0, -1e4]) for k in range(30)]
     assert search(spark, large, 4) == expected_search(large, 4)
     with pytest.raises(ValueError, match="may not fit"):
         search(spark, [(0, [1e30]), (1, [1.0])], 3)

@@ -80,19 +80,20 @@ def test_halo_blocks_hold_wide_windows(skewed):
         assert r.s == pytest.approx(sum(series[r.k][max(0, r.pos - 29) : r.pos + 1]), abs=1e-9)
 
 
-@pytest.mark.parametrize("method", ["mean", "median", "other"])
-@pytest.mark.parametrize("group_rows", [10_000, 50])
-def test_resample(skewed, method, group_rows):
-    df, rows = skewed
-    out = timeseries.resample(df, **KEYS, factor=4, method=method, group_rows=group_rows)
-    got = {(r.k, r.block): r.resampled for r in out.collect()}
-    level = np.median if method == "median" else np.mean
-    want = {
-        (k, i): level(v[i * 4 : i * 4 + 4])
-        for k, v in by_series(rows).items()
-        for i in range(len(v) // 4)
-    }
-    assert got == pytest.approx(want, abs=1e-9)
+RESAMPLED = {
+    "mean": {("s", 0): 4.0, ("s", 1): 6.25, ("z", 0): -1.0},
+    "median": {("s", 0): 2.5, ("s", 1): 6.0, ("z", 0): 0.5},
+    "other": {("s", 0): 4.0, ("s", 1): 6.25, ("z", 0): -1.0},
+}
+
+
+@pytest.mark.parametrize("method", list(RESAMPLED))
+@pytest.mark.parametrize("group_rows", [10_000, 3])
+def test_resample(spark, method, group_rows):
+    long = [1.0, 2.0, 3.0, 10.0, 7.0, 5.0, 5.0, 8.0, 4.0]
+    rows = [("s", t, v) for t, v in enumerate(long)] + [("z", t, v) for t, v in enumerate([1.0, 0.0, 3.0, -8.0])]
+    out = timeseries.resample(table(spark, [*rows, ("short", 0, 9.0)]), **KEYS, factor=4, method=method, group_rows=group_rows)
+    assert {(r.k, r.block): r.resampled for r in out.collect()} == pytest.approx(RESAMPLED[method])
 
 
 FORECASTS = {"last": [4.0, 4.0, 4.0], "mean": [3.0, 3.0, 3.0], "drift": [5.0, 6.0, 7.0], "unknown": [4.0, 4.0, 4.0]}
@@ -229,11 +230,37 @@ def test_notes_default_role(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("broadcast_rows", [100, 0])
-def test_attach_with_a_hot_key(spark, skewed, how, broadcast_rows):
+@pytest.mark.parametrize(("broadcast_rows", "heavy_rows"), [(100, 100), (0, 10_000), (0, 3)])
+def test_attach_with_a_hot_key(spark, skewed, how, broadcast_rows, heavy_rows):
     df, rows = skewed
     known = spark.createDataFrame([("hot", 1), ("a", 2), ("unused", 3)], "k string, n int")
-    out = joins.attach(df, known, ["k"], how=how, broadcast_rows=broadcast_rows, salts=5)
+    out = joins.attach(df, known, ["k"], how=how, broadcast_rows=broadcast_rows, heavy_rows=heavy_rows)
     numbers = {"hot": 1, "a": 2}
     want = sorted((k, t, numbers.get(k, 0)) for k, t, _ in rows if how == "left" or k in numbers)
     assert sorted((r.k, r.t, r.n or 0) for r in out.collect()) == want
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_attach_with_maps_equal_rows_and_null_keys(spark, how):
+    rows = [("hot", {"a": 1})] * 7 + [("b", None), ("b", None), (None, {"c": 2}), (None, None), ("none", {})]
+    df = spark.createDataFrame(rows, "k string, m map<string,int>")
+    known = spark.createDataFrame([("hot", [1]), ("b", [2])], "k string, v array<int>")
+    out = joins.attach(df, known, ["k"], how=how, broadcast_rows=0, heavy_rows=4)
+    numbers = {"hot": [1], "b": [2]}
+    want = sorted(str((k, m, numbers.get(k))) for k, m in rows if how == "left" or k in numbers)
+    assert out.columns == ["k", "m", "v"]
+    assert sorted(str((r.k, r.m, r.v)) for r in out.collect()) == want
+
+
+def test_broadcast_is_bounded_by_bytes(spark):
+    wide = spark.createDataFrame([("k", "x" * 1000)], "k string, v string")
+    assert joins.fits_broadcast(wide) and not joins.fits_broadcast(wide, size=900) and not joins.fits_broadcast(wide, rows=0)
+
+
+def test_sums_before_in_slices(spark):
+    rows = [(k, t, float(t % 5)) for k in ("a", "b", None) for t in range(25 if k == "a" else 4)]
+    df = spark.createDataFrame(rows, "k string, t int, v double").repartition(3)
+    for group_rows in (100, 4):
+        out = positions.sums_before(df, keys=["k"], order_by=["t"], sums={"s": F.col("v"), "n": F.lit(1)}, group_rows=group_rows)
+        got = {(r.k, r.t): (r.s, r.n) for r in out.collect()}
+        assert got == {(k, t): (sum(float(x % 5) for x in range(t)), t) for k, t, _ in rows}
