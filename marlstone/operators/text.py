@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.functions import arrays, text as T
+from marlstone.operators import lexical
 from marlstone.plans.durable import durable
 from marlstone.plans.joins import attach
 
@@ -23,6 +24,8 @@ ENTITY_RULES = {
     "url": r"https?://[A-Za-z0-9./?=_%&#:-]+",
 }
 
+MOST_LABELS = 1_000
+
 
 def keywords(df: DataFrame, *, key: str, text_col: str, k: int = 10) -> DataFrame:
     """The ``k`` most frequent words of each text, ties by first occurrence.
@@ -95,20 +98,11 @@ def entity_counts(
     )
 
 
-def word_rows(df: DataFrame, *, key: Sequence[str], text_col: str, keep_stop_words: bool = True):
-    """Distinct words of each text with their counts: ``(key, token, n)``."""
-    counted = arrays.ranked_counts(T.words(F.col(text_col), keep_stop_words=keep_stop_words))
-    return df.select(*key, F.explode(counted).alias("w")).select(
-        *key, F.col("w.token").alias("token"), (-F.col("w.order")).cast("long").alias("n")
-    )
-
-
 def polarity(df: DataFrame, lexicon: DataFrame, *, key: str, text_col: str) -> DataFrame:
     """Sum of word weights over the number of words; ``lexicon`` is (token, weight)."""
-    known = attach(
-        word_rows(df, key=[key], text_col=text_col), lexicon.select("token", "weight"), ["token"]
-    )
-    sums = known.groupBy(key).agg(
+    counted = lexical.word_counts(df, key=key, text_col=text_col)
+    known = attach(counted, lexicon.select(F.col("token").alias("term"), "weight"), ["term"])
+    sums = known.groupBy(F.col("id").alias(key)).agg(
         F.sum(F.coalesce("weight", F.lit(0)) * F.col("n")).alias("weight"),
         F.sum("n").alias("words"),
     )
@@ -175,11 +169,9 @@ def summarize(
 
 def unigram_model(df: DataFrame, *, text_col: str) -> tuple[DataFrame, int, int]:
     """Word counts, the number of words and of distinct words."""
-    rows = df.select(F.explode(arrays.ranked_counts(T.words(F.col(text_col), keep_stop_words=True))).alias("w"))
-    counts = rows.groupBy(F.col("w.token").alias("token")).agg(
-        F.sum(-F.col("w.order")).alias("count")
-    )
-    known = durable(counts)
+    rows = df.select(F.lit(0).alias("id"), text_col)
+    counted = lexical.word_counts(rows, key="id", text_col=text_col)
+    known = durable(counted.groupBy("term").agg(F.sum("n").alias("count")))
     total, distinct = known.agg(F.sum("count"), F.count(F.lit(1))).first()
     return known, total or 0, distinct
 
@@ -187,16 +179,16 @@ def unigram_model(df: DataFrame, *, text_col: str) -> tuple[DataFrame, int, int]
 def perplexity(model: tuple[DataFrame, int, int], df: DataFrame, *, key: str, text_col: str):
     """``exp(-mean(ln p))`` per text under an add-one unigram model."""
     counts, total, distinct = model
-    tokens = attach(word_rows(df, key=[key], text_col=text_col), counts, ["token"])
+    tokens = attach(lexical.word_counts(df, key=key, text_col=text_col), counts, ["term"])
     p = (F.coalesce("count", F.lit(0)) + 1) / F.lit(float(total + distinct + 1))
-    return tokens.groupBy(key).agg(
+    return tokens.groupBy(F.col("id").alias(key)).agg(
         F.exp(-F.sum(F.col("n") * F.ln(p)) / F.sum("n")).alias("perplexity"),
         F.sum("n").alias("tokens"),
     )
 
 
 class Embedder:
-    """Lexical text vectors: hashed word counts weighted by inverse document frequency."""
+    """Text features for fitting: hashed counts of all words weighted by inverse document frequency."""
 
     def __init__(self, pipeline: PipelineModel, text_col: str, normalize: bool):
         self.pipeline = pipeline
@@ -216,7 +208,7 @@ class Embedder:
 
     @staticmethod
     def _words(df: DataFrame, text_col: str) -> DataFrame:
-        return df.withColumn("__words", T.words(F.col(text_col), keep_stop_words=True))
+        return df.withColumn("__words", lexical.words(F.col(text_col)))
 
     def features(self, df: DataFrame, *, text_col: str | None = None) -> DataFrame:
         """Add an ML vector column ``features``; it stays sparse."""
@@ -225,11 +217,6 @@ class Embedder:
             out = out.withColumn("features", F.col("__idf"))
         return out.drop("__words", "__tf", "__idf")
 
-    def embed(self, df: DataFrame, *, text_col: str | None = None, name: str = "embedding"):
-        """Add an ``array<float>`` column."""
-        out = self.features(df, text_col=text_col)
-        return out.withColumn(name, vector_to_array("features", "float32")).drop("features")
-
 
 def classify(train: DataFrame, df: DataFrame, *, text_col: str, label: str, key: str) -> DataFrame:
     """Fit a linear classifier on labelled texts and score a table."""
@@ -258,55 +245,44 @@ def semantic_search(
     query_text: str,
     k: int = 5,
     snippet: int | None = None,
-    embedder: Embedder | None = None,
+    index: lexical.TextIndex | None = None,
 ) -> DataFrame:
-    """The ``k`` texts closest to each query text, best first, with an optional snippet."""
-    from marlstone.operators.vectors import search
-
-    model = embedder or Embedder.fit(df, text_col=text_col)
-    hits = search(
-        model.embed(df.select(key, text_col)),
-        model.embed(queries.select(query_id, query_text), text_col=query_text),
-        id=key,
-        vec="embedding",
-        query_id=query_id,
-        k=k,
-        metric="cosine",
-    )
+    """The ``k`` texts closest to each query text, best first, with an optional snippet; ids of any type.
+
+    An ``index`` built from ``df`` before serves any number of searches.
+    """
+    index = index or lexical.TextIndex.build(df, key=key, text_col=text_col)
+    hits = index.search(index.vectors(queries, key=query_id, text_col=query_text), k=k)
     shown = F.substring(text_col, 1, snippet) if snippet else F.col(text_col)
-    texts = df.select(F.col(key).cast("long").alias("id"), shown.alias("text"))
-    return hits.join(texts, "id").select("query_id", "rank", "id", "score", "text")
+    texts = df.select(F.col(key).alias("id"), shown.alias("text"))
+    return hits.join(texts, "id").select(F.col("query").alias("query_id"), "rank", "id", "score", "text")
 
 
 def zero_shot(
-    df: DataFrame,
-    labels: DataFrame,
-    *,
-    key: str,
-    text_col: str,
-    sharpness: float = 10.0,
-    embedder: Embedder | None = None,
+    df: DataFrame, labels: DataFrame, *, key: str, text_col: str, sharpness: float = 10.0
 ) -> DataFrame:
-    """Softmax over the candidate labels' similarity to each text, ranked.
+    """Softmax over the candidate labels' similarity to each text, ranked; equal scores by label.
 
-    ``labels`` is (label_id long, label, description).
+    ``labels`` is (label, description); a label may have many rows, and its vector is that of all their words. The
+    labels themselves are an argument, so their names may be read; their words are joined.
     """
-    from marlstone.operators.vectors import search
-
-    model = embedder or Embedder.fit(df, text_col=text_col)
-    names = durable(labels.select("label_id", "label", "description"))
-    scored = search(
-        model.embed(names, text_col="description"),
-        model.embed(df.select(key, text_col)),
-        id="label_id",
-        vec="embedding",
-        query_id=key,
-        k=names.count(),
-        metric="cosine",
-        carry=["label"],
-    )
-    weight = F.exp(F.col("score") * F.lit(sharpness))
-    share = weight / F.sum(weight).over(Window.partitionBy("query_id"))
+    index = lexical.TextIndex.build(df, key=key, text_col=text_col)
+    described = labels.where("label is not null").select("label", "description")
+    names = sorted(r["label"] for r in described.select("label").distinct().limit(MOST_LABELS + 1).collect())
+    if len(names) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} candidate labels")
+    counted = lexical.word_counts(described, key="label", text_col="description")
+    vectors = index.weighted(counted.groupBy("id", "term").agg(F.sum("n").alias("n")))
+    by_term = vectors.groupBy("term").agg(F.collect_list(F.struct(F.col("id").alias("label"), F.col("impact").alias("own"))).alias("of"))
+    met = attach(index.postings, by_term, ["term"], how="inner").select("id", "impact", F.explode("of").alias("of"))
+    sums = met.groupBy("id", F.col("of.label").alias("label")).agg(F.sum(F.col("impact") * F.col("of.own")).alias("total"))
+    every = df.select(F.col(key).alias("id"), F.explode(F.array(*map(F.lit, names))).alias("label"))
+    scored = every.join(sums, ["id", "label"], "left").withColumn("total", F.coalesce("total", F.lit(0)))
+    weight = F.exp(F.col("total") / F.lit(float(lexical.SCALE) ** 2) * F.lit(sharpness))
+    own = Window.partitionBy("id")
     return scored.select(
-        F.col("query_id").alias(key), "rank", "label", share.alias("score")
+        F.col("id").alias(key),
+        F.row_number().over(own.orderBy(F.desc("total"), "label")).alias("rank"),
+        "label",
+        (weight / F.sum(weight).over(own)).alias("score"),
     )

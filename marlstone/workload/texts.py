@@ -12,11 +12,13 @@ from marlstone.functions.code import (
     SCRIPT_IMPORT,
 )
 from marlstone.functions.text import STOP_WORDS, WHITE
-from marlstone.operators import code, text
+from marlstone.operators import code, lexical, text
 from marlstone.workload.registry import query, table, texts
 
 _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
 _WORDS = r"list_filter(regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}_]+'), lambda w: regexp_full_match(w, '[a-z]{{3,}}'))"
+# Words of any script, as the text vectors read them.
+_RUNS = r"regexp_extract_all(lower({0}), '[\p{{L}}\p{{M}}\p{{N}}_]+')"
 
 WORDS_SQL = f"""
 words AS (
@@ -94,7 +96,7 @@ def entities(spark, folder):
 # A lexicon read off the labelled texts: a word leans to where it is over-represented.
 LEXICON_SQL = f"""
 labelled AS (
-  SELECT d.doc_id, toxic, {_WORDS.format("text")} AS ws
+  SELECT d.doc_id, toxic, {_RUNS.format("text")} AS ws
   FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
 totals AS (SELECT count(*) FILTER (WHERE toxic = 0) AS clean, count(*) FILTER (WHERE toxic = 1) AS bad FROM labelled),
 seen AS (
@@ -112,13 +114,13 @@ def _lexicon(spark, folder):
         F.count_if(F.col("toxic") == 0), F.count_if(F.col("toxic") == 1)
     ).first()
     seen = (
-        text.word_rows(labelled, key=["doc_id", "toxic"], text_col="text")
-        .groupBy("token")
+        lexical.word_counts(labelled.withColumn("both", F.struct("doc_id", "toxic")), key="both", text_col="text")
+        .groupBy("term")
         .agg(
-            F.count_if(F.col("toxic") == 0).alias("c"), F.count_if(F.col("toxic") == 1).alias("b")
+            F.count_if(F.col("id.toxic") == 0).alias("c"), F.count_if(F.col("id.toxic") == 1).alias("b")
         )
     )
-    return seen.select("token", F.signum(F.col("c") * bad - F.col("b") * clean).cast("int").alias("weight"))
+    return seen.select(F.col("term").alias("token"), F.signum(F.col("c") * bad - F.col("b") * clean).cast("int").alias("weight"))
 
 
 @query(
@@ -126,7 +128,7 @@ def _lexicon(spark, folder):
     f"""
     WITH {LEXICON_SQL},
     words AS (
-      SELECT doc_id, unnest(ws) AS word FROM (SELECT doc_id, {_WORDS.format("text")} AS ws FROM documents)),
+      SELECT doc_id, unnest(ws) AS word FROM (SELECT doc_id, {_RUNS.format("text")} AS ws FROM documents)),
     sums AS (
       SELECT doc_id, sum(coalesce(weight, 0)) AS w, count(*) AS n
       FROM words LEFT JOIN lexicon USING (word) GROUP BY doc_id),
@@ -184,11 +186,10 @@ def extractive_summary(spark, folder):
 @query(
     "perplexity_unigram",
     f"""
-    WITH {WORDS_SQL},
-    counts AS (SELECT word, count(*) AS c FROM words GROUP BY word),
+    WITH counts AS (
+      SELECT word, count(*) AS c FROM (SELECT unnest({_RUNS.format("text")}) AS word FROM documents) GROUP BY word),
     size AS (SELECT sum(c) AS n, count(*) AS v FROM counts),
-    asked AS (
-      SELECT item_id, unnest(ws) AS word FROM (SELECT item_id, {_WORDS.format("text")} AS ws FROM benchmark))
+    asked AS (SELECT item_id, unnest({_RUNS.format("text")}) AS word FROM benchmark)
     SELECT item_id, round(exp(-avg(ln((coalesce(c, 0) + 1) / (n + v + 1)))), 4) AS perplexity, count(*) AS tokens
     FROM asked LEFT JOIN counts USING (word), size GROUP BY item_id
     """,
@@ -201,24 +202,66 @@ def perplexity_unigram(spark, folder):
     return scored.withColumn("perplexity", F.round("perplexity", 4))
 
 
+def _vectors_sql(rows: str, name: str, terms: str = "term") -> str:
+    """Unit vectors ``{name}(id, term, impact)`` of the counts in ``rows`` (id, term, n), weighted by ``df`` and ``size``."""
+    return f"""
+    {name}_w AS (
+      SELECT id, {terms} AS term, sum(n * (ln((1 + size.n) / (1 + coalesce(df.df, 0))) + 1)) AS w
+      FROM {rows} LEFT JOIN df USING (term), size GROUP BY id, {terms}),
+    {name} AS (
+      SELECT id, term, CAST(round(w / sqrt(sum(w * w) OVER (PARTITION BY id)) * {lexical.SCALE}) AS BIGINT) AS impact FROM {name}_w)
+    """.replace("size.n", "size.texts")
+
+
+def _index_sql(source: str, key: str, column: str) -> str:
+    return f"""
+    counted AS (
+      SELECT id, term, count(*) AS n FROM (SELECT {key} AS id, unnest({_RUNS.format(column)}) AS term FROM {source})
+      GROUP BY id, term),
+    size AS (SELECT count(*) AS texts FROM {source}),
+    df AS (SELECT term, count(*) AS df FROM counted GROUP BY term)
+    """
+
+
 @query(
     "embed_documents",
-    "SELECT doc_id, CAST(256 AS INTEGER) AS dim, "
-    f"CASE WHEN len({_WORDS.format('text')}) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS norm FROM documents",
+    f"""
+    WITH {_index_sql("documents", "doc_id", "text")},
+    {_vectors_sql("counted", "v", "CAST(('0x' || md5(term)[1:8])::BIGINT % 256 AS INTEGER)")}
+    SELECT doc_id, coalesce(string_agg(term || ':' || impact, ' ' ORDER BY term), '') AS cells,
+           round(sqrt(coalesce(sum(impact * impact), 0)) / {lexical.SCALE}, 4) AS norm
+    FROM documents LEFT JOIN v ON id = doc_id GROUP BY doc_id
+    """,
 )
 def embed_documents(spark, folder):
-    """Dimension and length of every text's vector; the vectors themselves are lexical."""
-    docs = texts(spark, folder, "documents")
-    embedded = text.Embedder.fit(docs, text_col="text", dim=256).embed(docs)
-    squares = F.aggregate(
-        "embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")
-    )
+    """Every text's vector in 256 buckets, written out as its cells, and its length."""
+    embedded = lexical.embed(texts(spark, folder, "documents"), key="doc_id", text_col="text", dim=256)
+    squares = F.aggregate("cells", F.lit(0).cast("long"), lambda s, c: s + c["impact"] * c["impact"])
+    written = F.transform("cells", lambda c: F.concat_ws(":", c["cell"], c["impact"]))
     return embedded.select(
-        "doc_id", F.size("embedding").alias("dim"), F.round(F.sqrt(squares), 4).alias("norm")
+        F.col("id").alias("doc_id"),
+        F.array_join(written, " ").alias("cells"),
+        F.round(F.sqrt(squares) / F.lit(float(lexical.SCALE)), 4).alias("norm"),
     )
 
 
-@query("semantic_search")
+def _search_sql(source: str, key: str, column: str, asked: str) -> str:
+    """The five best texts of each query by all products, without an index; ``asked`` selects id and text."""
+    return f"""
+    WITH {_index_sql(source, key, column)},
+    asked AS (
+      SELECT id, term, count(*) AS n FROM (SELECT id, unnest({_RUNS.format("text")}) AS term FROM ({asked})) GROUP BY id, term),
+    {_vectors_sql("counted", "v")}, {_vectors_sql("asked", "q")},
+    scored AS (
+      SELECT q.id AS query_id, v.id, CAST(sum(q.impact * v.impact) AS BIGINT) AS total
+      FROM q JOIN v USING (term) GROUP BY ALL),
+    ranked AS (
+      SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY total DESC, id) AS INTEGER) AS rank FROM scored)
+    SELECT query_id, rank, id, round(total / {float(lexical.SCALE) ** 2}, 6) AS score FROM ranked WHERE rank <= 5
+    """
+
+
+@query("semantic_search", _search_sql("documents", "doc_id", "text", "SELECT item_id AS id, text FROM benchmark"))
 def semantic_search(spark, folder):
     found = text.semantic_search(
         texts(spark, folder, "benchmark"),
@@ -238,17 +281,29 @@ def classify_docs(spark, folder):
     return text.classify(train, docs, text_col="text", label="quality", key="doc_id")
 
 
-@query("zero_shot")
+@query(
+    "zero_shot",
+    f"""
+    WITH {_index_sql("documents", "doc_id", "text")},
+    described AS (
+      SELECT lang AS id, term, sum(n) AS n FROM counted JOIN documents ON doc_id = id WHERE lang IS NOT NULL GROUP BY lang, term),
+    {_vectors_sql("counted", "v")}, {_vectors_sql("described", "q")},
+    sums AS (SELECT v.id, q.id AS label, sum(q.impact * v.impact) AS total FROM v JOIN q USING (term) GROUP BY ALL),
+    scored AS (
+      SELECT doc_id, l.lang AS label, coalesce(total, 0) AS total
+      FROM documents CROSS JOIN (SELECT DISTINCT lang FROM documents WHERE lang IS NOT NULL) l
+      LEFT JOIN sums ON sums.id = doc_id AND sums.label = l.lang)
+    SELECT doc_id, label, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY total DESC, label) AS INTEGER) AS rank,
+           round(exp(10 * total / {float(lexical.SCALE) ** 2})
+                 / sum(exp(10 * total / {float(lexical.SCALE) ** 2})) OVER (PARTITION BY doc_id), 6) AS score
+    FROM scored
+    """,
+)
 def zero_shot(spark, folder):
-    """Languages as candidate labels, each described by its frequent words."""
+    """Languages as candidate labels, each described by all its texts."""
     docs = texts(spark, folder, "documents")
-    described = (
-        text.keywords_by(docs, by=["lang"], text_col="text", k=200)
-        .groupBy(F.col("lang").alias("label"))
-        .agg(F.array_join(F.array_sort(F.collect_list("keyword")), " ").alias("description"))
-        .withColumn("label_id", F.crc32(F.col("label")))
-    )
-    return text.zero_shot(docs, described, key="doc_id", text_col="text")
+    found = text.zero_shot(docs, docs.select(F.col("lang").alias("label"), F.col("text").alias("description")), key="doc_id", text_col="text")
+    return found.withColumn("score", F.round("score", 6))
 
 
 # --- source code -----------------------------------------------------------------------------
@@ -367,7 +422,13 @@ def code_summary(spark, folder):
     return code.summary(snippets(spark, folder), code_col="code").drop("code", "language")
 
 
-@query("code_search")
+@query(
+    "code_search",
+    f"WITH {SNIPPETS_SQL}, "
+    + _search_sql("snippets", "id", "code", "SELECT min(p_partkey) AS id, p_name AS text FROM part GROUP BY p_name").strip().removeprefix("WITH")
+    .replace("SELECT query_id, rank, id, round", "SELECT query_id, rank, ranked.id, left(code, 500) AS text, round")
+    .replace("FROM ranked WHERE rank <= 5", "FROM ranked JOIN snippets USING (id) WHERE rank <= 5"),
+)
 def code_search(spark, folder):
     """Every distinct part name as a query against all snippets."""
     names = (

@@ -1,3 +1,6 @@
+import collections
+import math
+import random
 import re
 from collections import Counter
 
@@ -8,7 +11,7 @@ from marlstone.functions import arrays
 from marlstone.functions import text as T
 from marlstone.functions.code import LANGUAGE_MARKS, PYTHON_IMPORT, SCRIPT_IMPORT
 from marlstone.functions.stem import stem
-from marlstone.operators import code, prep, text
+from marlstone.operators import code, lexical, prep, text
 
 
 def one(spark, value, expression):
@@ -105,22 +108,72 @@ def T_split(value):
     return re.split(r"(?<=[.!?])\s+", value)
 
 
-def test_embeddings_find_their_text(spark):
-    rows = [(i, f"alpha{w} beta{w} common words") for i, w in enumerate(["one", "two", "three"])]
+SEARCHED = {
+    "a": "rare common common words", "b": "common words of anything", "c": "Größe größe common 東京 12", "d": "", "e": None,
+    "f": "words words words", "g": "12 x", "h": "rare common common words",
+}
+ASKED = [(1, "rare words"), (2, "größe"), (3, "東京 12 unseen"), (4, "nothing here"), (5, ""), (6, None), (7, "common words")]
+
+
+def plain_vectors(texts, known):
+    """Unit vectors by definition; ``known`` are the texts whose words set the weights."""
+    count = collections.Counter(w for t in known for w in set(re.findall(r"\w+", (t or "").lower())))
+    out = []
+    for value in texts:
+        own = collections.Counter(re.findall(r"\w+", (value or "").lower()))
+        v = {w: n * (math.log((1 + len(known)) / (1 + count[w])) + 1) for w, n in own.items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        out.append({w: round(x / norm * lexical.SCALE) for w, x in v.items()})
+    return out
+
+
+@pytest.mark.parametrize("k", [1, 2, 50])
+def test_search_gives_what_all_products_give(spark, k):
+    df = spark.createDataFrame(list(SEARCHED.items()), "id string, t string").repartition(3)
+    asked = spark.createDataFrame(ASKED, "q int, t string")
+    found = text.semantic_search(asked, df, key="id", text_col="t", query_id="q", query_text="t", k=k, snippet=4)
+    want = set()
+    base = dict(zip(SEARCHED, plain_vectors(SEARCHED.values(), SEARCHED.values()), strict=True))
+    for (q, _), v in zip(ASKED, plain_vectors([t for _, t in ASKED], SEARCHED.values()), strict=True):
+        totals = sorted((-sum(x * b.get(w, 0) for w, x in v.items()), i) for i, b in base.items())
+        want |= {(q, r, i, round(-s / lexical.SCALE**2, 9), SEARCHED[i][:4]) for r, (s, i) in enumerate(totals[:k], 1) if s}
+    assert {(r.query_id, r["rank"], r.id, round(r.score, 9), r.text) for r in found.collect()} == want
+
+
+def test_search_over_random_texts_prunes_nothing_it_needs(spark):
+    rng = random.Random(5)
+    vocabulary = [f"w{int(rng.paretovariate(0.7)) % 400}" for _ in range(600)]
+    rows = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 60)))) for i in range(300)]
     df = spark.createDataFrame(rows, "id long, t string")
-    found = text.semantic_search(df, df, key="id", text_col="t", query_id="id", query_text="t", k=1)
-    assert all(r.query_id == r.id and r.score == pytest.approx(1, abs=1e-5) for r in found.collect())
+    found = text.semantic_search(df, df, key="id", text_col="t", query_id="id", query_text="t", k=3)
+    vectors = plain_vectors([t for _, t in rows], [t for _, t in rows])
+    want = set()
+    for q, v in enumerate(vectors):
+        totals = sorted((-sum(x * b.get(w, 0) for w, x in v.items()), i) for i, b in enumerate(vectors))
+        want |= {(q, r, i) for r, (s, i) in enumerate(totals[:3], 1) if s}
+    assert {(r.query_id, r["rank"], r.id) for r in found.collect()} == want
+
+
+def test_embeddings_hold_every_word(spark):
+    df = spark.createDataFrame([*SEARCHED.items(), (None, "no id")], "id string, t string")
+    out = lexical.embed(df, key="id", text_col="t", dim=16).withColumn("v", lexical.dense(16)("cells")).collect()
+    assert len(out) == 9
+    for r in out:
+        has_words = bool(re.findall(r"\w", SEARCHED.get(r.id) or "")) and r.id is not None
+        assert sum(x * x for x in r.v) == pytest.approx(float(has_words), abs=1e-4)
+        assert bool(r.cells) == has_words and all(x >= 0 for x in r.v)
 
 
 def test_zero_shot_scores_add_up(spark):
-    docs = spark.createDataFrame([(1, "cats purr softly"), (2, "dogs bark loudly")], "id long, t string")
+    docs = spark.createDataFrame([(1, "cats purr softly"), (2, "dogs bark loudly"), (3, None), (4, "unrelated")], "id long, t string")
     labels = spark.createDataFrame(
-        [(10, "cat", "cats purr"), (20, "dog", "dogs bark")], "label_id long, label string, description string"
+        [("cat", "cats purr"), ("dog", "dogs"), ("dog", "bark"), (None, "cats")], "label string, description string"
     )
     rows = text.zero_shot(docs, labels, key="id", text_col="t").collect()
-    best = {r.id: r.label for r in rows if r.rank == 1}
-    assert best == {1: "cat", 2: "dog"}
-    assert sum(r.score for r in rows if r.id == 1) == pytest.approx(1)
+    assert {r.id: r.label for r in rows if r["rank"] == 1} == {1: "cat", 2: "dog", 3: "cat", 4: "cat"}
+    for key in (1, 2, 3, 4):
+        assert sum(r.score for r in rows if r.id == key) == pytest.approx(1)
+    assert [r.score for r in rows if r.id == 3] == [0.5, 0.5]
 
 
 # Pairs from the published description of the algorithm.
