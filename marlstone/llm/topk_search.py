@@ -329,6 +329,7 @@ def search(vectors: DataFrame, is_query: Column, *, k: int) -> DataFrame:
         F.coalesce(F.max(F.size("v")), F.lit(0)),
         F.coalesce(F.max(F.array_max(F.transform("v", lambda c: F.greatest(c, -(c + 1))))), F.lit(0)),
         F.count_if(is_query),
+        F.count(F.lit(1)),
     ).first()
     width, largest, queries = max(facts[0], LISTS), facts[1] + 1, facts[2]
     if width * largest**2 >= 1 << 62:
@@ -340,9 +341,11 @@ def search(vectors: DataFrame, is_query: Column, *, k: int) -> DataFrame:
     work = "float32" if width * largest**2 < 1 << 24 else "float64" if width * largest**2 < 1 << 53 else "int64"
     alike = F.row_number().over(Window.partitionBy("v").orderBy("id", "rid"))
     candidates = vectors.withColumn("nth", alike).where(F.col("nth") <= k + 1)
-    slices = _pack(candidates, "slice", SLICE, width, kind)
-    dealt = vectors.where(is_query).repartition(-(-queries // GROUP), "rid")
-    groups = _pack(dealt, "g", GROUP, width, kind)
+    # Few tasks fill their slices; a file holds up to eight, fewer while that keeps the cores busy.
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    files = max(-(-facts[3] // (8 * SLICE)), min(-(-facts[3] // SLICE), 2 * cores))
+    slices = _pack(candidates.coalesce(files), "slice", SLICE, width, kind)
+    groups = _pack(vectors.where(is_query).repartition(-(-queries // GROUP)), "g", GROUP, width, kind)
     numbers = sorted(r["g"] for r in groups.where("list = 0").select("g").collect())
     found = None
     for at in range(0, len(numbers), ROUND):
