@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marlstone.llm.token_ids import id_arrays
+from marlstone.llm.token_ids import encoder, id_arrays
 from marlstone.plans.durable import durable, scratch_path
 
 LENGTH = 1024
@@ -96,6 +96,8 @@ class _Writer:
         padded[: len(flat)] = flat
         mask = np.arange(len(padded)) < len(flat)
         kind = self.schema.field("ids").type.value_type
+        if padded.max() >= 1 << kind.bit_width:
+            raise ValueError(f"id {padded.max()} does not fit {kind}")
         values = pa.array(padded.astype(kind.to_pandas_dtype()), kind), pa.array(mask)
         lists = [pa.FixedSizeListArray.from_arrays(v, self.length) for v in values]
         self.file.write_batch(pa.RecordBatch.from_arrays(lists, schema=self.schema))
@@ -108,15 +110,19 @@ class _Writer:
 
 
 def write_token_files(
-    docs: DataFrame, *, path: str, end: int, keep_space: bool, wide: bool = False, length: int = LENGTH
+    docs: DataFrame, *, path: str, end: int, keep_space: bool, wide: bool | None = None, length: int = LENGTH
 ) -> list[tuple[str, int]]:
     """Write the ids of all documents (``doc_id``, ``text``) in ascending ``doc_id`` order; files with their ids.
 
     One task writes one range of documents and reports its file through a table in the shared folder, so a file
     of a lost attempt is never read. Only a name and a count per file reach the driver. Null ids come first, null
     and empty texts are their end id alone, repeated rows are written as often as they occur, and a table
-    without rows gives no file. ``wide`` is for vocabularies of more than 65,536 ids.
+    without rows gives no file. Very long texts are written as they are read, and columns other than these two are not
+    read. Ids take two bytes each, or four (``wide``) where the vocabulary or ``end`` asks for it; an id that does not
+    fit is refused.
     """
+    if wide is None:
+        wide = max(encoder(path, keep_space).largest_id(), end) >= 1 << 16
     folder = scratch_path(docs.sparkSession, "tokens")
     system, name = _at(folder)
     system.create_dir(name, recursive=True)

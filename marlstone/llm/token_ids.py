@@ -1,10 +1,11 @@
-"""Token ids of whole texts, encoding each distinct piece of text once per worker.
+"""Token ids of whole texts, encoding each distinct piece of a block of texts once.
 
 Both tokenizers split a text before they merge, and never across a single space between two characters that
-are not white space. Such pieces are therefore encoded by the library on their own and remembered; the ids of
-a text are put together from those of its pieces. White space of any other kind stays inside a piece. A piece
-of plain letters and a mark or two goes straight to the library's merge model, which is what its splitting
-would hand over as well.
+are not white space. Blocks of texts are cut there as Arrow columns; only the distinct pieces of a block reach
+Python, where they are encoded by the library and remembered within a bound, and the ids of all texts are put
+together from theirs by position. White space of any other kind stays inside a piece. Most pieces are plain letters
+with marks behind them, where the library's splitting cuts too: of these only the distinct words are encoded, by its
+merge model. A text that spells one of the tokenizer's special tokens is encoded as a whole.
 """
 
 from __future__ import annotations
@@ -12,107 +13,136 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator, Sequence
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-REMEMBERED = 1_000_000
-GROUP = 64
+from marlstone.llm.memo import Memo
+from marlstone.llm.textarrays import bounded
+
+REMEMBERED_BYTES = 48_000_000
+BLOCK_BYTES = 4_000_000
 _SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_LETTERS, _MARKS = "([A-Za-zÀ-ÖØ-öø-ÿ]+)", "([.,!?;:]*)"
-_PLAIN = re.compile(f"{_LETTERS}{_MARKS}(?:\n{_LETTERS}{_MARKS})?")
+_OTHER = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in _SPACES) + "]"
+# Where a space is not alone between two other characters.
+_ODD = rf"^ | $|  | {_OTHER}|{_OTHER} "
+_LETTERS, _MARKS = "[A-Za-zÀ-ÖØ-öø-ÿ]+", "[.,!?;:]*"
+_PLAIN = f"^(?P<word>{_LETTERS})(?P<marks>{_MARKS})(?:(?P<line>\n)(?P<next>{_LETTERS})(?P<more>{_MARKS}))?$"
 
 
 class PieceEncoder:
     """Encodes texts with one of the library's tokenizers; ``keep_space`` for those that read spaces."""
 
-    def __init__(self, path: str, keep_space: bool, remembered: int = REMEMBERED):
+    def __init__(self, path: str, keep_space: bool, most_bytes: int = REMEMBERED_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(special) or r"(?!)", re.IGNORECASE)
+        self.whole = "|".join([_ODD, *[f"(?i:{s})" for s in special]])
         self.space = " " if keep_space else ""
+        self.line = np.array(self.tokenizer.encode("\n", add_special_tokens=False).ids, np.uint32)
         self.spelled = {}  # each byte as the character that stands for it in the vocabulary
         spare = iter(range(256, 512))
         for byte in range(256):
             shown = 0x21 <= byte <= 0x7E or 0xA1 <= byte <= 0xAC or 0xAE <= byte
             self.spelled[byte] = chr(byte if shown else next(spare))
-        self.marks: dict[str, list[int]] = {"": []}
-        self.remembered = remembered
-        self._forget()
-
-    def _forget(self) -> None:
-        self.number: dict[str, int] = {}  # pieces after a space
-        self.leading: dict[str, int] = {}  # pieces at the start of a text
-        self.flat = np.zeros(1 << 20, np.uint32)
-        self.starts = np.zeros(1 << 16, np.int64)
-        self.known = 0
-
-    def _learn(self, pieces: Sequence[str], into: dict[str, int], space: str) -> None:
-        plain = [_PLAIN.fullmatch(p) for p in pieces]
-        rest = self._by_library([space + p for p, m in zip(pieces, plain, strict=True) if not m])
-        ids = [self._plain_ids(space, *m.groups()) if m else next(rest) for m in plain]
-        at, end = self.known, int(self.starts[self.known])
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        while len(self.starts) <= at + len(ids):
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-        while len(self.flat) < end + sizes.sum():
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.starts[at + 1 : at + 1 + len(ids)] = end + np.cumsum(sizes)
-        self.flat[end : end + sizes.sum()] = np.fromiter(chain.from_iterable(ids), np.uint32, sizes.sum())
-        into.update(zip(pieces, range(at, at + len(ids)), strict=True))
-        self.known += len(ids)
+        self.spaced = Memo(lambda words: self._learn_words(words, self.space), most_bytes // 2)
+        self.bare = Memo(lambda words: self._learn_words(words, ""), most_bytes // 8) if keep_space else self.spaced
+        self.others = Memo(lambda pieces: self._learn(pieces, self.space), most_bytes // 4)
+        self.leading = Memo(lambda pieces: self._learn(pieces, ""), most_bytes // 8)
+
+    def _learn(self, pieces: Sequence[str], space: str) -> list[bytes]:
+        return [np.array(i, np.uint32).tobytes() for i in self._by_library([space + p for p in pieces])]
+
+    def _learn_words(self, words: list[str], space: str) -> list[bytes]:
+        """Words of letters, by the library's merge model alone: its normalizing and splitting leave them whole."""
+        tokenize, spelled = self.tokenizer.model.tokenize, self.spelled
+        raw = [space + w for w in words] if self.space else [w.lower() for w in words]
+        bytewise = [w if w.isascii() else w.encode().decode("latin-1") for w in raw]
+        return [np.array([t.id for t in tokenize(w.translate(spelled))], np.uint32).tobytes() for w in bytewise]
 
     def _by_library(self, pieces: list[str]) -> Iterator[list[int]]:
         return (e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False))
 
-    def _marks(self, marks: str) -> list[int]:
-        if marks not in self.marks:
-            self.marks[marks] = next(self._by_library([marks]))
-        return self.marks[marks]
-
-    def _word(self, letters: str) -> list[int]:
-        spelled = letters if letters.isascii() else letters.encode().decode("latin-1")
-        return [t.id for t in self.tokenizer.model.tokenize(spelled.translate(self.spelled))]
-
-    def _plain_ids(self, space: str, word: str, marks: str, second: str | None, more: str | None) -> list[int]:
-        if not self.space:
-            word, second = word.lower(), second and second.lower()
-        ids = self._word(space + word) + self._marks(marks)
-        return ids + self._marks("\n") + self._word(second) + self._marks(more) if second else ids
-
-    def _pieces(self, text: str) -> list[str]:
-        pieces = text.split(" ")
-        odd = "" in pieces or any(f" {c}" in text or f"{c} " in text for c in _SPACES if c in text)
-        return _CUT.split(text) if odd else pieces
-
-    def _numbers(self, pieces: list[str], known: dict[str, int], space: str) -> list[int]:
-        numbers = list(map(known.get, pieces))
-        if None in numbers:
-            new = [p for p, n in zip(pieces, numbers, strict=True) if n is None]
-            self._learn(list(dict.fromkeys(new)), known, space)
-            numbers = list(map(known.__getitem__, pieces))
-        return numbers
-
-    def encode(self, texts: Sequence[str | None]) -> Iterator[np.ndarray]:
+    def _pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct pieces after a space, one after another, and how many each has."""
+        parts = pc.extract_regex(pieces, _PLAIN)
+        plain = parts.is_valid()
+        found = parts.filter(plain).flatten()
+        tables, atoms, known = [[b"", self.line.tobytes()]], np.zeros((len(pieces), 5), np.int64), 2
+
+        def add(column: int, rows: np.ndarray, values: pa.Array, records) -> None:
+            nonlocal known
+            coded = values.dictionary_encode()
+            tables.append(records(coded.dictionary.to_pylist()))
+            atoms[rows, column] = coded.indices.to_numpy() + known
+            known += len(tables[-1])
+
+        at = np.flatnonzero(plain.to_numpy(zero_copy_only=False))
+        names = [f.name for f in parts.type]
+        word, marks, line, after, more = (found[names.index(n)] for n in ("word", "marks", "line", "next", "more"))
+        second = pc.equal(line, "\n")
+        twice = at[second.to_numpy(zero_copy_only=False)]
+        add(0, at, word, self.spaced)
+        add(1, at, marks, self._marks)
+        atoms[twice, 2] = 1
+        add(3, twice, after.filter(second), self.bare)
+        add(4, twice, more.filter(second), self._marks)
+        rest = np.flatnonzero(~plain.to_numpy(zero_copy_only=False))
+        add(0, rest, pieces.take(pa.array(rest)), self.others)
+        records = [r for table in tables for r in table]
+        sizes = np.fromiter(map(len, records), np.int64, len(records)) // 4
+        flat = np.frombuffer(b"".join(records), np.uint32)
+        return _taken(flat, sizes, atoms.ravel()), sizes[atoms].sum(axis=1)
+
+    def _marks(self, marks: list[str]) -> list[bytes]:
+        return [self.leading([m])[0] if m else b"" for m in marks]
+
+    def _odd(self, text: str) -> np.ndarray:
+        if self.special.search(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        head, *tails = _CUT.split(text)
+        return np.frombuffer(b"".join(self.leading([head]) + self.others(tails)), np.uint32)
+
+    def _plain(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of texts whose spaces all stand alone."""
+        lists = pc.split_pattern(texts, " ")
+        first = lists.offsets.to_numpy()
+        pieces = lists.values.dictionary_encode()
+        number = pieces.indices.to_numpy().astype(np.int64)
+        heads = lists.values.take(pa.array(first[:-1])).dictionary_encode()
+        ids, sizes = self._pieces(pieces.dictionary)
+        begun = self.leading(heads.dictionary.to_pylist())
+        number[first[:-1]] = heads.indices.to_numpy() + len(sizes)
+        ids = np.concatenate([ids, np.frombuffer(b"".join(begun), np.uint32)])
+        sizes = np.concatenate([sizes, np.fromiter(map(len, begun), np.int64, len(begun)) // 4])
+        ends = np.cumsum(sizes[number])
+        return np.split(_taken(ids, sizes, number), ends[first[1:-1] - 1])
+
+    def largest_id(self) -> int:
+        return self.tokenizer.get_vocab_size(with_added_tokens=True) - 1
+
+    def encode(self, column: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text; null and empty texts have none."""
-        for at in range(0, len(texts), GROUP):
-            if self.known > self.remembered:
-                self._forget()
-            split = [self._pieces(t) if t else [""] for t in texts[at : at + GROUP]]
-            heads = self._numbers([p[0] for p in split], self.leading, "")
-            tails = self._numbers(list(chain.from_iterable(p[1:] for p in split)), self.number, self.space)
-            numbers = np.array(tails, np.int64)
-            counts = np.fromiter((len(p) - 1 for p in split), np.int64, len(split))
-            numbers = np.insert(numbers, np.cumsum(counts) - counts, heads)
-            first = self.starts[numbers]
-            sizes = self.starts[numbers + 1] - first
-            ends = np.cumsum(sizes)
-            ids = self.flat[np.arange(ends[-1]) + np.repeat(first - ends + sizes, sizes)]
-            yield from np.split(ids, ends[np.cumsum(counts + 1)[:-1] - 1])
+        for _, part in bounded(column, BLOCK_BYTES):
+            texts = pc.fill_null(part, "")
+            odd = pc.match_substring_regex(texts, self.whole)
+            even = texts.filter(pc.invert(odd))
+            plain = iter(self._plain(even) if len(even) else [])
+            whole = iter(texts.filter(odd).to_pylist())
+            for is_odd in odd.to_pylist():
+                yield self._odd(next(whole)) if is_odd else next(plain)
+
+
+def _taken(flat: np.ndarray, sizes: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """The runs of ``flat`` (one after another, of the given sizes) that ``numbers`` name, in their order."""
+    begin, many = np.cumsum(sizes) - sizes, sizes[numbers]
+    ends = np.cumsum(many)
+    return flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin[numbers] - ends + many, many)]
 
 
 _encoders: dict[tuple[str, bool], PieceEncoder] = {}
@@ -128,7 +158,5 @@ def encoder(path: str, keep_space: bool) -> PieceEncoder:
 
 def id_arrays(column: pa.Array, path: str, keep_space: bool, end: int) -> Iterator[np.ndarray]:
     """The ids of each text of a column, followed by the id ``end``."""
-    known = encoder(path, keep_space)
-    for at in range(0, len(column), GROUP):
-        for ids in known.encode(column.slice(at, GROUP).to_pylist()):
-            yield np.append(ids, np.uint32(end))
+    for ids in encoder(path, keep_space).encode(column):
+        yield np.append(ids, np.uint32(end))
