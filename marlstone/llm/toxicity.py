@@ -10,7 +10,6 @@ are left out and letters standing alone one after another are joined before comp
 from __future__ import annotations
 
 import itertools
-import sys
 import unicodedata
 from collections.abc import Iterator, Sequence
 
@@ -20,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marlstone.llm.memo import Memo
 from marlstone.plans.durable import durable
 
 DECAY = 0.6
@@ -27,9 +27,7 @@ SPAN = 5
 LONGEST = 32
 LEAST_SIMILAR = 0.5
 CERTAIN = 3.0
-# What a worker keeps of tokens it has met, and about what a dictionary entry takes besides its key and record.
-REMEMBERED_BYTES = 64_000_000
-ENTRY_BYTES = 120
+REMEMBERED_BYTES = 48_000_000
 GROUP = 64
 GROUP_CHARS = 2_000_000
 TASKS = 48
@@ -139,27 +137,17 @@ class Kernel:
 class Reader:
     """Landmark values of texts; what it knows of a token serves all texts of a Python worker.
 
-    A token's record lists only the landmarks it is like. Records are kept in two generations of bounded size: when
-    the younger is full it becomes the older, and what is met again moves to the younger, so common tokens stay and
-    tokens met once go.
+    A token's record lists only the landmarks it is like, and the memory for records is bounded (``memo``).
     """
 
     def __init__(self, landmarks: Sequence[str], most_bytes: int = REMEMBERED_BYTES):
         self.kernel = Kernel(landmarks)
-        self.most_bytes = most_bytes
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.held = 0
+        self.records = Memo(self._learn, most_bytes)
 
-    def _keep(self, token: str, record: bytes) -> None:
-        self.young[token] = record
-        self.held += sys.getsizeof(token) + sys.getsizeof(record) + ENTRY_BYTES
+    def _learn(self, tokens: list[str]) -> list[bytes]:
+        return [r for at in range(0, len(tokens), 2048) for r in self._learn_some(tokens[at : at + 2048])]
 
-    def _learn(self, tokens: Sequence[str]) -> None:
-        for at in range(0, len(tokens), 2048):
-            self._learn_some(tokens[at : at + 2048])
-
-    def _learn_some(self, tokens: Sequence[str]) -> None:
+    def _learn_some(self, tokens: Sequence[str]) -> Iterator[bytes]:
         spelled = [letters(t) for t in tokens]
         parts = [units(s) for s in spelled]
         flat = [u for p in parts for u in p]
@@ -167,7 +155,7 @@ class Reader:
         found = np.where(found >= LEAST_SIMILAR, found, 0).astype(np.float32)
         alike = found.any(axis=1)
         at = 0
-        for token, word, own in zip(tokens, spelled, parts, strict=True):
+        for word, own in zip(spelled, parts, strict=True):
             record = _SINGLE if len(word) == 1 else b""
             if alike[at : at + len(own)].any():
                 best = found[at : at + len(own)].max(axis=0)
@@ -176,36 +164,20 @@ class Reader:
                 values["at"], values["value"] = where, best[where]
                 record = values.tobytes()
             at += len(own)
-            self._keep(token, record)
-
-    def _records(self, tokens: list[str]) -> list[bytes]:
-        records = list(map(self.young.get, tokens))
-        if None in records:
-            new = []
-            for token in dict.fromkeys(t for t, r in zip(tokens, records, strict=True) if r is None):
-                known = self.old.get(token)
-                if known is None:
-                    new.append(token)
-                else:
-                    self._keep(token, known)
-            self._learn(new)
-            records = list(map(self.young.__getitem__, tokens))
-        return records
+            yield record
 
     def read(self, texts: Sequence[str | None]) -> Iterator[np.ndarray]:
         """The largest value of any word of each text, for each landmark; zeros for a text without words."""
         for group in _groups(texts):
-            if self.held > self.most_bytes // 2:
-                self.old, self.young, self.held = self.young, {}, 0
             split = [(t or "").split() for t in group]
-            records = self._records(list(itertools.chain.from_iterable(split)))
+            records = self.records(list(itertools.chain.from_iterable(split)))
             begin = 0
             for tokens in split:
                 own = records[begin : begin + len(tokens)]
                 begin += len(tokens)
                 alike = set(own)
                 if _SINGLE in alike and own.count(_SINGLE) >= 3:
-                    alike.update(self._records(_joined(tokens, own)))
+                    alike.update(self.records(_joined(tokens, own)))
                 found = np.frombuffer(b"".join(alike - {_SINGLE}), _RECORD)
                 best = np.zeros(len(self.kernel.landmarks), np.float32)
                 np.maximum.at(best, found["at"], found["value"])
