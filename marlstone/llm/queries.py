@@ -168,15 +168,17 @@ e AS (
   SELECT o.a, o.b FROM o JOIN n x ON x.doc_id = o.a JOIN n y ON y.doc_id = o.b
   WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
 r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
-SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.b) AS component_id
-FROM d LEFT JOIN n USING (doc_id) JOIN r ON r.a = d.doc_id GROUP BY d.doc_id
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.b) AS component_id,
+       coalesce(any_value(k.n), 0) AS n_links
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, count(*) AS n FROM e GROUP BY a) k USING (doc_id)
+JOIN r ON r.a = d.doc_id GROUP BY d.doc_id
 """
 
 
 @query(sql=JACCARD_SQL)
 def op8_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     grouped = jaccard.groups(documents(spark, folder), size=4, percent=85)
-    return grouped.select("doc_id", "n_shingles", "component_id")
+    return grouped.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 LINES_SQL = r"""

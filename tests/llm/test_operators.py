@@ -77,7 +77,6 @@ def library_ids(name, texts, end):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(queries.tokenizer_path(name))
-    tokenizer.encode_special_tokens = True
     return [np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, end], "<u4") for t in texts]
 
 
@@ -88,8 +87,9 @@ def test_pieces_encode_like_the_library(name, keep_space):
     parts = ["a", "B", "é", " ", "  ", "\n", "\t", "'s", "don't", "<|endoftext|>", "12", " ", "́", "漢", "😀", ".", "İ"]
     rng = np.random.default_rng(7)
     texts = ["".join(rng.choice(parts, rng.integers(0, 12))) for _ in range(800)] + [t for t in TEXTS if t]
-    encoder = PieceEncoder(queries.tokenizer_path(name), keep_space, remembered=200)
-    for text, ids, want in zip(texts, encoder.encode(texts), library_ids(name, texts, 0), strict=True):
+    texts += ["<|startoftext|> a <|ENDOFTEXT|>", " lead", "trail ", "a\u2003 b", "x\u00a0y z", None, "", "a  b"]
+    encoder = PieceEncoder(queries.tokenizer_path(name), keep_space, most_bytes=20_000)
+    for text, ids, want in zip(texts, encoder.encode(pa.array(texts)), library_ids(name, texts, 0), strict=True):
         assert ids.tolist() == want[:-1].tolist(), text
 
 
@@ -132,6 +132,18 @@ def test_plan_places_every_length_once(seed):
     assert len(filled) <= 1.06 * (counts @ np.arange(101)) / 100 + 3
 
 
+def test_ids_that_do_not_fit_are_refused(tmp_path):
+    for wide in (False, True):
+        writer = token_files._Writer(str(tmp_path / f"{wide}.arrow"), 4, wide)
+        writer.add(np.array([1, 65_536], np.uint32))
+        if wide:
+            writer.close()
+            assert token_files.TokenFile(str(tmp_path / "True.arrow")).ids(0, 2).tolist() == [1, 65_536]
+        else:
+            with pytest.raises(ValueError, match="does not fit"):
+                writer.close()
+
+
 def test_token_files(spark, odd, empty):
     path = queries.tokenizer_path("word_bpe_49k.json")
     files = token_files.write_token_files(odd, path=path, end=2, keep_space=False, length=16)
@@ -197,21 +209,30 @@ def test_line_dedup(spark, odd, empty):
 
 
 def brute_components(texts, size, percent):
+    """Set size, component and number of links of every text."""
+
     def of(text):
         words = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
         words = [w for w in re.split(r"[\x20\x09-\x0D]+", words) if w]
         return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
 
-    sets, label = {k: of(t) for k, t in texts.items()}, {k: k for k in texts}
+    sets, label, links = {k: of(t) for k, t in texts.items()}, {k: k for k in texts}, Counter()
     for a, b in itertools.combinations(sorted(texts), 2):
         if sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+            links.update((a, b))
             low, high = sorted((label[a], label[b]))
             label = {k: low if v == high else v for k, v in label.items()}
-    return {k: (len(sets[k]), label[k]) for k in texts}
+    return {k: (len(sets[k]), label[k], links[k]) for k in texts}
+
 
+def found_groups(docs, size, percent):
+    return {r["doc_id"]: (r["n_shingles"], r["component_id"], r["n_links"]) for r in jaccard.groups(docs, size=size, percent=percent).collect()}
 
-@pytest.mark.parametrize(("size", "percent"), [(4, 85), (5, 80), (2, 50)])
-def test_jaccard_groups(spark, size, percent):
+
+@pytest.mark.parametrize(("size", "percent", "many"), [(4, 85, 64), (4, 85, 1), (5, 80, 3), (2, 50, 1)])
+def test_jaccard_groups(spark, monkeypatch, size, percent, many):
+    monkeypatch.setattr(jaccard, "MANY", many)
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", 5)
     rng = np.random.default_rng(size)
     texts = {}
     for base in range(6):
@@ -223,14 +244,15 @@ def test_jaccard_groups(spark, size, percent):
             texts[base * 100 + copy] = " ".join(own[: rng.integers(34, 41)])
     texts |= {900: None, 901: "", 902: "one two", 903: "ONE two", 904: "one two three"}
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.groups(docs, size=size, percent=percent).collect()}
     want = brute_components(texts, size, percent)
-    assert got == want
+    assert found_groups(docs, size, percent) == want
     kept = {r["doc_id"] for r in jaccard.keep_one(docs, size=size, percent=percent).collect()}
-    assert kept == {k for k, (_, c) in want.items() if k == c}
+    assert kept == {k for k, (_, c, _) in want.items() if k == c}
 
 
-def test_large_group_is_closed_by_turns(spark):
+@pytest.mark.parametrize("block_rows", [1024, 30])
+def test_large_group_of_near_copies(spark, monkeypatch, block_rows):
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", block_rows)
     rng = np.random.default_rng(1)
     words = [f"w{k}" for k in range(60)]
     texts = {}
@@ -239,27 +261,18 @@ def test_large_group_is_closed_by_turns(spark):
         for _ in range(3):
             own[rng.integers(0, 60)] = f"x{k}"
         texts[k] = " ".join(own)
+    texts |= {200: texts[7], 201: texts[7], 202: texts[9] + " end"}
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.groups(docs, size=2, percent=85).collect()}
-    assert got == brute_components(texts, 2, 85)
+    assert found_groups(docs, 2, 85) == brute_components(texts, 2, 85)
 
 
-def test_all_links_of_a_group(spark):
-    words = [f"w{k}" for k in range(40)]
-    texts = {k: " ".join([*words, f"x{k}"]) for k in range(15)} | {20: " ".join([*words, "x3"]), 30: "alone here", 31: None, 32: ""}
-    sets = {k: frozenset(zip(*[(t or "").split()[i:] for i in range(2)], strict=False)) for k, t in texts.items()}
-    near = {(a, b) for a in texts for b in texts if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
-    assert len(near) == 16 * 15 // 2
-    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    pairs, members = jaccard.links(docs, size=2, percent=85)
-    of = {}
-    for r in members.collect():
-        of.setdefault(r["cls"], []).append(r["doc_id"])
-    linked = [(x, y) for r in pairs.collect() for x in of[r["a"]] for y in of[r["b"]]]
-    linked += [(x, y) for same in of.values() for x in same for y in same if x < y]
-    assert Counter(tuple(sorted(p)) for p in linked) == Counter(near)
-    counts = {r["doc_id"]: r["n_links"] for r in jaccard.link_counts(docs, size=2, percent=85).collect()}
-    assert counts == {k: sum(k in p for p in near) for k in texts}
+def test_overlaps_over_ranges(monkeypatch):
+    monkeypatch.setattr(jaccard, "RANGE", 3)
+    rng = np.random.default_rng(2)
+    sets = [[np.unique(rng.integers(0, 30, n)).astype(np.uint64) for n in rng.integers(0, 20, m)] for m in (7, 5)]
+    parts = [(np.concatenate(s), np.repeat(np.arange(len(s)), [len(x) for x in s]), len(s)) for s in sets]
+    got = jaccard._overlaps(*parts[0], *parts[1])
+    assert got.tolist() == [[len(np.intersect1d(a, b)) for b in sets[1]] for a in sets[0]]
 
 
 def test_jaccard_odd_rows(odd, empty):
