@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from marlstone.functions import vectors as V
 from marlstone.plans import neighbors
@@ -16,6 +19,8 @@ from marlstone.plans.durable import durable
 from marlstone.plans.positions import with_position
 
 SEED = 42
+# Rows on which the centroids of inverted lists are fitted at most.
+SAMPLE_ROWS = 1_000_000
 
 
 def cosine_pairs(pairs: DataFrame, *, left: str, right: str, name: str = "cosine") -> DataFrame:
@@ -57,39 +62,47 @@ def at_positions(
 
 
 def nlist_for(dim: int) -> int:
-    """Number of inverted lists for vectors of length ``dim``."""
+    """Number of inverted lists for vectors of length ``dim`` where none is asked for."""
     return min(100, max(1, dim // 4))
 
 
 def train_cells(
-    base: DataFrame, *, vec: str, nlist: int | None = None, seed: int = SEED
-) -> list[list[float]]:
-    """Centroids of a coarse quantizer over the whole table, at most 100 by default."""
-    if nlist is None:
-        nlist = nlist_for(len(base.select(vec).first()[0]))
-    features = base.select(array_to_vector(F.col(vec).cast("array<double>")).alias("features"))
-    model = KMeans(k=nlist, seed=seed, maxIter=10).fit(durable(features))
-    return [[float(x) for x in center] for center in model.clusterCenters()]
-
-
-def assign_cells(
-    df: DataFrame, centers: list[list[float]], *, vec: str, nprobe: int = 1, name: str = "cell"
-) -> DataFrame:
-    """One row per vector and each of its ``nprobe`` nearest centroids, which travel as literals."""
-    literal = F.lit(centers).cast("array<array<double>>")
-    nearest = F.slice(
-        F.array_sort(
-            F.transform(
-                literal,
-                lambda c, i: F.struct(
-                    V.squared_distance(F.col(vec), c).alias("d"), i.alias("cell")
-                ),
-            )
-        ),
-        1,
-        nprobe,
-    )
-    return df.withColumn(name, F.explode(F.transform(nearest, lambda s: s["cell"])))
+    base: DataFrame, *, vec: str, nlist: int | None = None, seed: int = SEED, sample_rows: int = SAMPLE_ROWS
+) -> np.ndarray:
+    """Centroids of a coarse quantizer, one row each.
+
+    They are fitted on at most ``sample_rows`` rows, those with the smallest hash; every row is indexed. Null vectors
+    take no part. With fewer distinct rows than ``nlist`` there are fewer centroids.
+    """
+    held = base.where(F.col(vec).isNotNull()).select(F.col(vec).cast("array<double>").alias("v"))
+    rows = held.count()
+    if not rows:
+        raise ValueError("no vectors to train on")
+    share = F.xxhash64("v").bitwiseAND(F.lit((1 << 30) - 1)) < F.lit(int((1 << 30) * min(1.0, sample_rows / rows)))
+    features = durable((held.where(share) if rows > sample_rows else held).select(array_to_vector("v").alias("features")))
+    lists = nlist or nlist_for(len(held.first()[0]))
+    model = KMeans(k=min(lists, rows), seed=seed, maxIter=10, distanceMeasure="euclidean").fit(features)
+    return np.array(model.clusterCenters())
+
+
+def assign_cells(df: DataFrame, centers: np.ndarray, *, vec: str, nprobe: int = 1, name: str = "cell") -> DataFrame:
+    """One row per vector and each of its ``nprobe`` nearest centroids, found by one matrix product per batch.
+
+    Equal distances go to the smaller list. The centroids are broadcast once; their number is a parameter.
+    """
+    known = df.sparkSession.sparkContext.broadcast(np.asarray(centers, float))
+    many = min(nprobe, len(centers))
+
+    @F.pandas_udf("array<int>")
+    def nearest(vectors: pd.Series) -> pd.Series:
+        lists = known.value
+        if not len(vectors):
+            return pd.Series([], dtype=object)
+        x = np.stack(vectors.to_numpy()).astype(float)
+        gap = np.round((lists**2).sum(1)[None, :] - 2 * x @ lists.T, 9)
+        return pd.Series(list(np.argsort(gap, axis=1, kind="stable")[:, :many].astype(np.int32)))
+
+    return df.where(F.col(vec).isNotNull()).withColumn(name, F.explode(nearest(F.col(vec))))
 
 
 def search(
@@ -104,7 +117,8 @@ def search(
     metric: str = "ip",
     method: str = "exact",
     nprobe: int = 1,
-    centers: list[list[float]] | None = None,
+    nlist: int | None = None,
+    centers: np.ndarray | None = None,
     tables: int = 8,
     bucket_length: float = 0.5,
     carry: Sequence[str] = (),
@@ -113,21 +127,19 @@ def search(
     """The ``k`` nearest base rows of every query: query id, rank, id, score, carried columns.
 
     ``score`` is the inner product, the cosine, or the squared distance. Equal scores
-    go to the smaller id. ``method`` is ``exact``, ``ivf`` (``nprobe`` cells per query)
-    or ``lsh`` (random projections, ``tables`` hash tables).
+    go to the smaller id; ids are of any type that can be ordered. ``method`` is ``exact``, ``ivf`` (``nlist``
+    inverted lists, ``nprobe`` of them per query) or ``lsh`` (random projections, ``tables`` hash tables).
     """
     if metric not in neighbors.METRICS:
         raise ValueError(f"unknown metric {metric!r}")
     if k < 1:
         raise ValueError("k must be at least 1")
-    rows = base.select(F.col(id).cast("long").alias("id"), F.col(vec).alias("vec"))
-    asked = queries.select(
-        F.col(query_id).cast("long").alias("id"), F.col(query_vec or vec).alias("vec")
-    )
+    rows, known = _numbered(base.select(F.col(id).alias("id"), F.col(vec).alias("vec")))
+    asked, named = _numbered(queries.select(F.col(query_id).alias("id"), F.col(query_vec or vec).alias("vec")))
     if method == "exact":
         hits = neighbors.exact(rows, asked, k, metric, **limits)
     elif method == "ivf":
-        cells = centers or train_cells(rows, vec="vec")
+        cells = train_cells(rows, vec="vec", nlist=nlist) if centers is None else centers
         hits = neighbors.within_cells(
             assign_cells(rows, cells, vec="vec"),
             assign_cells(asked, cells, vec="vec", nprobe=nprobe),
@@ -150,13 +162,29 @@ def search(
     else:
         raise ValueError(f"unknown method {method!r}")
     score = -F.col("score") if metric == "l2" else F.col("score")
-    found = hits.select(F.col("query_id"), F.col("rank"), F.col("id"), score.alias("score"))
+    found = hits.select("query_id", "rank", "id", score.alias("score"))
+    if known is not None:
+        found = found.withColumnRenamed("id", "__at").join(known, "__at").drop("__at")
+    if named is not None:
+        found = found.withColumnRenamed("query_id", "__at").join(named.withColumnRenamed("id", "query_id"), "__at")
     if carry:
-        details = base.select(F.col(id).cast("long").alias("id"), *carry)
+        details = base.select(F.col(id).alias("id"), *carry)
         found = found.join(details, "id")
     return found.select("query_id", "rank", "id", "score", *carry)
 
 
+def _numbered(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``rows`` (``id``, ``vec``) with whole numbers as ids, and the ids by number (``__at``) where they are something else.
+
+    Rows without a vector or an id take no part. Numbers follow the order of the ids, so ties stay with the smaller.
+    """
+    sound = rows.where(F.col("vec").isNotNull() & F.col("id").isNotNull())
+    if isinstance(rows.schema["id"].dataType, IntegralType):
+        return sound.withColumn("id", F.col("id").cast("long")), None
+    known = durable(with_position(sound.select("id").distinct(), order_by=["id"], name="__at"))
+    return durable(sound.join(known, "id").select(F.col("__at").alias("id"), "vec")), known
+
+
 def _features(df: DataFrame) -> DataFrame:
     return df.withColumn("features", array_to_vector(F.col("vec").cast("array<double>")))
 

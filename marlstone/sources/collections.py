@@ -11,7 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.sources.logs import NamedLog
+from marlstone.plans.durable import durable
+from marlstone.sources.batches import BatchTable
 
 
 def with_default_ids(batch: DataFrame, *, document: str, order_by: Sequence[str], id: str = "id"):
@@ -171,43 +172,120 @@ def _distinct(df: DataFrame, name: str) -> DataFrame:
 
 
 class CollectionStore:
-    """Named collections below one folder."""
+    """Named collections below one folder, each a set of batches (``batches.BatchTable``)."""
 
     DOCUMENTS = "id string, document string, metadata map<string,string>, embedding array<float>"
 
     def __init__(self, spark: SparkSession, root: str):
-        self.log = NamedLog(spark, root)
+        root = root.rstrip("/")
+        self.names = BatchTable(spark, f"{root}/names", "info map<string,string>")
+        self.batches = BatchTable(spark, f"{root}/documents", self.DOCUMENTS)
+        self.spark = spark
 
     def create(self, name: str, metadata: dict | None = None) -> None:
         """Get or create: an existing collection keeps its metadata."""
-        self.log.open(name, metadata)
+        if self.names.rows(name).isEmpty():
+            info = self.spark.createDataFrame([(metadata or {},)], "info map<string,string>")
+            self.names.write(name, info, batch="info")
 
     def delete(self, name: str) -> None:
-        self.log.reset(name)
+        """Forget a collection and remove its files."""
+        self.names.clear(name)
+        self.batches.clear(name)
 
     def documents(self, name: str | None = None) -> DataFrame:
-        """Live documents, of one collection or of all."""
-        rows = self.log.rows("documents", self.DOCUMENTS, name)
-        return rows.withColumnRenamed("name", "collection")
-
-    def add(self, name: str, batch: DataFrame, *, order_by: Sequence[str] = ("id",)) -> int:
-        """Append a batch to a collection, skipping ids it holds; the new total."""
+        """Live documents, of one collection or of all: of an id, the row of its last batch."""
+        keys = ["id"] if name is not None else ["name", "id"]
+        rows = self.batches.rows(name)
+        rest = [c for c in rows.columns if c not in (*keys, "batch")]
+        last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("last")).select(*keys, "last.*")
+        return last.withColumnRenamed("name", "collection") if name is None else last.withColumn("collection", F.lit(name))
+
+    def add(self, name: str, batch: DataFrame, *, order_by: Sequence[str] = ("id",), batch_id: str | None = None) -> int:
+        """Add documents whose id the collection does not hold; the new total.
+
+        The same ``batch_id`` again replaces what it wrote before, so a repeated job adds nothing twice.
+        """
         self.create(name)
-        fresh = first_of_each(batch, id="id", order_by=order_by).join(
-            self.documents(name).select("id"), "id", "left_anti"
-        )
+        held = self.batches.rows(name)
+        if batch_id:
+            held = held.where(F.col("batch") != batch_id)
+        fresh = first_of_each(batch, id="id", order_by=order_by).join(held.select("id").distinct(), "id", "left_anti")
+        return self._write(name, fresh, batch_id)
+
+    def update(self, name: str, batch: DataFrame, *, order_by: Sequence[str] = ("id",), batch_id: str | None = None) -> int:
+        """Add documents or replace those of the same id; the new total."""
+        self.create(name)
+        return self._write(name, last_of_each(batch, id="id", order_by=order_by), batch_id)
+
+    def add_to_each(self, batch: DataFrame, *, order_by: Sequence[str] = ("id",), batch_id: str | None = None) -> None:
+        """Add documents to the collections that their column ``collection`` names, all in one job."""
+        held = self.batches.rows().withColumnRenamed("name", "collection")
+        if batch_id:
+            held = held.where(F.col("batch") != batch_id)
+        both = F.struct(F.col("collection"), F.col("id").cast("string").alias("id"))
+        keyed = batch.where("collection is not null and id is not null").withColumn("__key", both)
+        first = first_of_each(keyed, id="__key", order_by=order_by).drop("__key")
+        fresh = durable(first.join(held.select("collection", "id").distinct(), ["collection", "id"], "left_anti"))
+        known = self.names.rows().select(F.col("name").alias("collection"))
+        new = fresh.select("collection").distinct().join(known, "collection", "left_anti")
+        self.names.write(F.col("collection"), durable(new).withColumn("info", F.create_map().cast("map<string,string>")), "info")
+        self.batches.write(F.col("collection"), self._whole(fresh, "collection"), batch_id)
+
+    def _write(self, name: str, rows: DataFrame, batch_id: str | None) -> int:
+        # Written apart first: a batch may be made from the collection it goes to.
+        self.batches.write(name, durable(self._whole(rows)), batch_id)
+        return self.documents(name).count()
+
+    @staticmethod
+    def _whole(rows: DataFrame, *also: str) -> DataFrame:
         blank = {
             "document": F.lit(""),
             "metadata": F.create_map().cast("map<string,string>"),
             "embedding": F.lit(None).cast("array<float>"),
         }
-        rows = fresh.select(
+        return rows.select(
             F.col("id").cast("string").alias("id"),
-            *[(F.col(c) if c in batch.columns else v).alias(c) for c, v in blank.items()],
+            *[(F.col(c) if c in rows.columns else v).alias(c) for c, v in blank.items()],
+            *also,
         )
-        self.log.append("documents", name, rows)
-        return self.documents(name).count()
+
+    def query(
+        self,
+        name: str,
+        queries: DataFrame,
+        *,
+        query_id: str,
+        text: str | None = None,
+        vec: str | None = None,
+        k: int = 5,
+        conditions: dict | None = None,
+        **how,
+    ) -> DataFrame:
+        """The ``k`` nearest documents: by the words of ``text``, or by squared distance of ``vec``; with id and document.
+
+        Result: ``query_id``, ``rank``, ``id``, ``score``, ``document``, ``metadata``.
+        """
+        if (text is None) == (vec is None):
+            raise ValueError("a query is by text or by vector")
+        held = self.documents(name)
+        kept = durable(held.where(where(conditions)) if conditions else held)
+        if vec is not None:
+            found = query(
+                kept.where("embedding is not null"), queries, id="id", vec="embedding", query_id=query_id, query_vec=vec, k=k,
+                carry=["document", "metadata"], **how,
+            )
+            return found
+        from marlstone.operators import lexical
+
+        index = lexical.TextIndex.build(kept, key="id", text_col="document")
+        hits = index.search(index.vectors(queries, key=query_id, text_col=text), k=k)
+        details = kept.select("id", "document", "metadata")
+        return hits.join(details, "id").select(F.col("query").alias("query_id"), "rank", "id", "score", "document", "metadata")
 
     def list(self) -> DataFrame:
-        registry = self.log.live().select(F.col("name").alias("collection"), F.col("info").alias("metadata"))
+        registry = self.names.rows().select(F.col("name").alias("collection"), F.col("info").alias("metadata"))
         return counts(registry, self.documents())
+
+    def stats(self) -> DataFrame:
+        return stats(self.documents())

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marlstone.operators import prep, vectors
-from marlstone.plans.durable import scratch_path
+from marlstone.plans.durable import durable, scratch_path
 from marlstone.sources import collections
+from marlstone.sources.indexes import IndexStore
 from marlstone.workload.registry import query, table
 
 VECTORS_SQL = "vectors AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
@@ -89,10 +90,26 @@ def knn_l2(spark, folder):
     return _rounded(vectors.search(rows, rows, **SELF, k=5, metric="l2"))
 
 
-@query("knn_ivf")
+def _ivf_store(spark, folder):
+    store = IndexStore(spark, scratch_path(spark, "indexes"))
+    store.create("vectors", 64, kind="IVFFlat", metric="ip", nlist=32)
+    store.add("vectors", table(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("vec")), order_by=["vec_id"])
+    return store
+
+
+@query(
+    "knn_ivf",
+    f"""
+    WITH placed AS (SELECT *, row_number() OVER (ORDER BY vec_id) - 1 AS pos FROM embeddings),
+    hits AS ({_knn_sql(INNER, "DESC")})
+    SELECT query_id, rank, pos AS id, score FROM hits JOIN placed ON vec_id = hits.id
+    """,
+)
 def knn_ivf(spark, folder):
-    rows = table(spark, folder, "embeddings")
-    return _rounded(vectors.search(rows, rows, **SELF, k=5, metric="ip", method="ivf", nprobe=4))
+    """A stored index with all its lists probed, which must give what an exact search gives."""
+    asked = table(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("vec"))
+    found = _ivf_store(spark, folder).search("vectors", asked, query_id="vec_id", k=5, nprobe=32)
+    return _rounded(found.select("query_id", "rank", "id", "score"))
 
 
 @query("knn_lsh")
@@ -101,19 +118,53 @@ def knn_lsh(spark, folder):
     return _rounded(vectors.search(rows, rows, **SELF, k=5, metric="l2", method="lsh"))
 
 
-@query("collection_query", _knn_sql(SQUARED, "ASC", "b.label >= 3 AND b.label <> 7"))
+@query(
+    "ann_recall",
+    "SELECT * FROM (VALUES ('ivf', true), ('lsh', true)) AS t(method, reached)",
+)
+def ann_recall(spark, folder):
+    """Whether each approximate search finds nine tenths of the exact ten nearest of every fiftieth vector."""
+    rows = table(spark, folder, "embeddings")
+    asked = rows.where(F.col("vec_id") % 50 == 0)
+    want = durable(vectors.search(rows, asked, **SELF, k=10, metric="l2").select("query_id", "id"))
+    ways = {"ivf": {"nlist": 16, "nprobe": 12}, "lsh": {}}
+    out = None
+    for method, how in ways.items():
+        found = vectors.search(rows, asked, **SELF, k=10, metric="l2", method=method, **how).select("query_id", "id", F.lit(1).alias("hit"))
+        share = want.join(found, ["query_id", "id"], "left").agg((F.count("hit") / F.count(F.lit(1)) >= 0.9).alias("reached"))
+        row = share.select(F.lit(method).alias("method"), "reached")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query(
+    "collection_query",
+    f"""
+    WITH hits AS ({_knn_sql(SQUARED, "ASC", "b.label >= 3 AND b.label <> 7")})
+    SELECT 'q' || query_id AS query_id, rank, 'v' || lpad(CAST(id AS VARCHAR), 12, '0') AS id, score FROM hits
+    """,
+)
 def collection_query(spark, folder):
+    """A stored collection, asked by vector and by what its metadata says; ids are strings."""
     rows = table(spark, folder, "embeddings")
-    held = rows.withColumn("metadata", F.create_map(F.lit("label"), F.col("label").cast("string")))
-    found = collections.query(
-        held,
-        rows,
-        id="vec_id",
+    named = F.concat(F.lit("v"), F.lpad(F.col("vec_id").cast("string"), 12, "0"))
+    held = rows.select(
+        named.alias("id"),
+        F.lit("").alias("document"),
+        F.create_map(F.lit("label"), F.col("label").cast("string")).alias("metadata"),
+        "embedding",
+    )
+    store = collections.CollectionStore(spark, scratch_path(spark, "collections"))
+    store.add("vectors", held)
+    asked = rows.select(F.concat(F.lit("q"), F.col("vec_id").cast("string")).alias("query_id"), "embedding")
+    found = store.query(
+        "vectors",
+        asked,
+        query_id="query_id",
         vec="embedding",
-        query_id="vec_id",
         conditions={"$and": [{"label": {"$gte": 3}}, {"label": {"$ne": 7}}]},
     )
-    return _rounded(found)
+    return _rounded(found.select("query_id", "rank", "id", "score"))
 
 
 @query(
@@ -153,28 +204,36 @@ def topk_predictions(spark, folder):
     """,
 )
 def index_add(spark, folder):
+    """Two batches of a stored index, the first written twice as by a repeated job."""
+    store = IndexStore(spark, scratch_path(spark, "indexes"))
+    store.create("vectors", 64)
     rows = table(spark, folder, "embeddings")
-    how = {"order_by": ["vec_id"], "vec": "embedding", "dim": 64}
-    first = vectors.add_vectors(None, rows.where("label < 5"), **how)
-    both = vectors.add_vectors(first, rows.where("label >= 5"), **how)
-    return both.select("vec_id", "label", "pos")
+    marked = rows.select(
+        "vec_id",
+        F.col("embedding").alias("vec"),
+        F.create_map(F.lit("vec_id"), F.col("vec_id").cast("string"), F.lit("label"), F.col("label").cast("string")).alias("metadata"),
+    )
+    label = F.col("metadata")["label"].cast("int")
+    for batch, part in (("1", label < 5), ("2", label >= 5), ("1", label < 5)):
+        store.add("vectors", marked.where(part), order_by=["vec_id"], batch_id=batch)
+    return store.vectors("vectors").select(F.col("metadata")["vec_id"].cast("long").alias("vec_id"), label.alias("label"), "pos")
 
 
 @query(
     "index_roundtrip",
     f"""
     WITH {VECTORS_SQL}
-    SELECT vec_id, label, round(list_sum(v), 6) + 0.0 AS total FROM vectors
+    SELECT row_number() OVER (ORDER BY vec_id) - 1 AS pos, 'ip' AS metric, 'IVFFlat' AS kind, round(list_sum(v), 6) + 0.0 AS total
+    FROM vectors
     """,
 )
 def index_roundtrip(spark, folder):
-    rows = table(spark, folder, "embeddings").withColumn("pos", F.col("vec_id"))
-    centers = vectors.train_cells(rows, vec="embedding")
-    path = scratch_path(spark, "index")
-    vectors.save_index(vectors.assign_cells(rows, centers, vec="embedding"), path, cell="cell")
-    restored = vectors.load_index(spark, path)
-    total = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double"))
-    return restored.select("vec_id", "label", F.round(total, 6).alias("total"))
+    """An index with inverted lists, read back by another store object with its metric and kind."""
+    root = _ivf_store(spark, folder).batches.path.rsplit("/", 1)[0]
+    restored = IndexStore(spark, root)
+    known = restored.info("vectors").select("metric", "kind", F.col("list_id").alias("cell"))
+    total = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double"))
+    return restored.vectors("vectors").join(known, "cell").select("pos", "metric", "kind", F.round(total, 6).alias("total"))
 
 
 @query(
@@ -218,9 +277,28 @@ def _batches(spark, folder):
     """,
 )
 def collection_add(spark, folder):
-    old, new = _batches(spark, folder)
-    held = collections.add(old, new, order_by=["id"])
-    return held.select("id", "batch", "lang", F.md5("document").alias("digest"))
+    return _stored(spark, folder, "add")
+
+
+def _stored(spark, folder, way: str):
+    """Two batches in a stored collection, the second written twice as by a repeated job."""
+    store = collections.CollectionStore(spark, scratch_path(spark, "collections"))
+    old, new = (
+        b.select(
+            F.lpad(F.col("id").cast("string"), 12, "0").alias("id"), "document",
+            F.create_map(F.lit("lang"), F.col("lang"), F.lit("batch"), F.col("batch").cast("string")).alias("metadata"),
+        )
+        for b in _batches(spark, folder)
+    )
+    store.add("docs", old, batch_id="1")
+    for _ in range(2):
+        getattr(store, way)("docs", new, batch_id="2")
+    return store.documents("docs").select(
+        F.col("id").cast("long").alias("id"),
+        F.col("metadata")["batch"].cast("int").alias("batch"),
+        F.col("metadata")["lang"].alias("lang"),
+        F.md5("document").alias("digest"),
+    )
 
 
 @query(
@@ -232,9 +310,7 @@ def collection_add(spark, folder):
     """,
 )
 def collection_update(spark, folder):
-    old, new = _batches(spark, folder)
-    held = collections.update(old, new, order_by=["id"])
-    return held.select("id", "batch", "lang", F.md5("document").alias("digest"))
+    return _stored(spark, folder, "update")
 
 
 def _by_source(spark, folder):
@@ -246,6 +322,13 @@ def _by_source(spark, folder):
     )
 
 
+def _store_by_source(spark, folder):
+    """A stored collection per source, written by one job."""
+    store = collections.CollectionStore(spark, scratch_path(spark, "collections"))
+    store.add_to_each(_by_source(spark, folder))
+    return store
+
+
 @query(
     "collection_counts",
     """
@@ -255,11 +338,10 @@ def _by_source(spark, folder):
     """,
 )
 def collection_counts(spark, folder):
-    """One collection per source and one left empty."""
-    documents = _by_source(spark, folder)
-    names = documents.select("collection").distinct()
-    empty = spark.range(1).select(F.lit("empty").alias("collection"))
-    return collections.counts(names.unionByName(empty), documents).select("collection", "n")
+    """One stored collection per source and one left empty."""
+    store = _store_by_source(spark, folder)
+    store.create("empty")
+    return store.list().select("collection", "n")
 
 
 @query(
@@ -267,7 +349,9 @@ def collection_counts(spark, folder):
     "SELECT source AS collection, CAST(doc_id AS VARCHAR) AS id FROM documents WHERE source <> 'src3'",
 )
 def collection_delete(spark, folder):
-    return collections.without(_by_source(spark, folder), "src3").select("collection", "id")
+    store = _store_by_source(spark, folder)
+    store.delete("src3")
+    return store.documents().select("collection", "id")
 
 
 @query(
@@ -280,5 +364,5 @@ def collection_delete(spark, folder):
     """,
 )
 def collection_stats(spark, folder):
-    stats = collections.stats(_by_source(spark, folder))
+    stats = _store_by_source(spark, folder).stats()
     return stats.withColumn("avg_length", F.round("avg_length", 6))

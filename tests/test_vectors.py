@@ -187,6 +187,92 @@ def test_store(spark, tmp_path):
     store.delete("a")
     assert {r.collection: r.n for r in store.list().collect()} == {"b": 1}
     assert store.add("a", rows.where("id = '2'")) == 1
+    assert store.update("a", spark.createDataFrame([("2", "new"), ("3", "three")], "id string, document string")) == 2
+    assert {r.id: r.document for r in store.documents("a").collect()} == {"2": "new", "3": "three"}
+
+
+def parquet_files(path):
+    return sorted(str(p) for p in path.rglob("*.parquet"))
+
+
+def test_deleted_collection_leaves_no_files(spark, tmp_path):
+    store = collections.CollectionStore(spark, str(tmp_path / "store"))
+    rows = spark.createDataFrame([("1", "one")], "id string, document string")
+    store.add("a/b: c", rows)
+    before = parquet_files(tmp_path)
+    store.add("other", rows)
+    assert len(before) == 2 and len(parquet_files(tmp_path)) == 4
+    store.delete("a/b: c")
+    assert len(parquet_files(tmp_path)) == 2 and not set(before) & set(parquet_files(tmp_path))
+    assert {r.collection for r in store.list().collect()} == {"other"}
+
+
+def test_failed_and_repeated_batches(spark, tmp_path):
+    store = collections.CollectionStore(spark, str(tmp_path / "store"))
+    rows = spark.createDataFrame([(str(k), f"text {k}") for k in range(20)], "id string, document string")
+    store.add("a", rows.where("id < 5"), batch_id="1")
+    broken = rows.withColumn("document", F.when(F.col("id") == "13", F.raise_error(F.lit("lost")).cast("string")).otherwise(F.col("document")))
+    with pytest.raises(Exception, match="lost"):
+        store.add("a", broken, batch_id="2")
+    assert store.documents("a").count() == 5
+    # What a job wrote before it was lost is replaced by its repetition.
+    store.batches.write("a", rows.where("id in (7, 8)").select("id", "document", F.create_map().cast("map<string,string>").alias("metadata"), F.lit(None).cast("array<float>").alias("embedding")), "2")
+    for _ in range(2):
+        assert store.add("a", rows, batch_id="2") == 20
+    assert store.documents("a").select("id").distinct().count() == 20
+
+
+def test_add_to_each_collection(spark, tmp_path):
+    store = collections.CollectionStore(spark, str(tmp_path / "store"))
+    schema = "collection string, id string, document string"
+    rows = [("a", "1", "one"), ("a", "1", "two"), ("b", "1", "three"), (None, "1", "x"), ("b", None, "y")]
+    store.create("a", {"kept": "yes"})
+    store.add("a", spark.createDataFrame([("0", "zero")], "id string, document string"))
+    for _ in range(2):
+        store.add_to_each(spark.createDataFrame(rows, schema), order_by=["document"], batch_id="1")
+    assert {(r.collection, r.id): r.document for r in store.documents().collect()} == {("a", "0"): "zero", ("a", "1"): "one", ("b", "1"): "three"}
+    assert {r.collection: r.metadata for r in store.list().collect()} == {"a": {"kept": "yes"}, "b": {}}
+
+
+def test_two_writers_keep_out_of_each_others_way(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    stores = [collections.CollectionStore(spark, str(tmp_path / "store")) for _ in range(4)]
+
+    def put(k):
+        rows = spark.createDataFrame([(f"{k}-{i}", "x") for i in range(3)] + [("both", f"by {k}")], "id string, document string")
+        stores[k].update("a", rows)
+
+    stores[0].create("a")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(put, range(4)))
+    held = {r.id: r.document for r in stores[0].documents("a").collect()}
+    assert len(held) == 13 and held["both"].startswith("by ")
+
+
+def test_collection_asked_by_text_and_by_vector(spark, tmp_path):
+    store = collections.CollectionStore(spark, str(tmp_path / "store"))
+    schema = "id string, document string, metadata map<string,string>, embedding array<float>"
+    rows = [("x", "red apple", {"k": "1"}, [1.0, 0.0]), ("b", "green apple", {"k": "2"}, [0.0, 1.0]), ("a", "blue", {}, None)]
+    store.add("c", spark.createDataFrame(rows, schema))
+    asked = spark.createDataFrame([("q1", "green", [0.9, 0.0]), ("q2", None, None)], "q string, t string, v array<float>")
+    by_text = store.query("c", asked, query_id="q", text="t", k=2).collect()
+    assert [(r.query_id, r.id, r.document) for r in by_text] == [("q1", "b", "green apple")]
+    by_vector = store.query("c", asked, query_id="q", vec="v", k=2).orderBy("rank").collect()
+    assert [(r.query_id, r["rank"], r.id) for r in by_vector] == [("q1", 1, "x"), ("q1", 2, "b")]
+    kept = store.query("c", asked, query_id="q", vec="v", conditions={"k": "2"}).collect()
+    assert [(r.id, r.metadata) for r in kept] == [("b", {"k": "2"})]
+    with pytest.raises(ValueError):
+        store.query("c", asked, query_id="q")
+
+
+def test_search_with_ids_of_any_type(spark):
+    rows = [("b", [1.0, 0.0]), ("a", [1.0, 0.0]), ("c", [0.0, 1.0]), ("d", None), (None, [1.0, 0.0])]
+    df = spark.createDataFrame([(None, None), *rows], "id string, v array<float>")
+    found = vectors.search(df, df, id="id", vec="v", query_id="id", k=2).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r["rank"], r.id) for r in found] == [
+        ("a", 1, "a"), ("a", 2, "b"), ("b", 1, "a"), ("b", 2, "b"), ("c", 1, "c"), ("c", 2, "a"),
+    ]
 
 
 def test_add_and_update_within_a_batch(spark):
@@ -211,7 +297,7 @@ def test_default_ids_are_stable(spark):
 @pytest.mark.parametrize("kind", ["Flat", "IVFFlat", "HNSW"])
 def test_index_store(spark, tmp_path, clouds, kind):
     store = IndexStore(spark, str(tmp_path / "indexes"))
-    store.create("main", 8, kind=kind, metric="l2")
+    store.create("main", 8, kind=kind, metric="l2", nlist=2)
     df = table(spark, clouds).withColumn("document", F.concat(F.lit("d"), "id"))
     assert store.add("main", df.where("id < 200"), order_by=["id"]) == 200
     assert store.add("main", df.where("id >= 200").drop("document"), order_by=["id"]) == len(clouds)
@@ -226,3 +312,25 @@ def test_index_store(spark, tmp_path, clouds, kind):
     assert again.vectors("main").count() == 0
     with pytest.raises(ValueError):
         again.search("other", df, query_id="id")
+
+
+def test_index_reads_only_probed_lists(spark, tmp_path, clouds, capsys):
+    store = IndexStore(spark, str(tmp_path / "indexes"))
+    store.create("main", 8, kind="IVFFlat", metric="l2", nlist=5)
+    df = table(spark, clouds)
+    store.add("main", df, order_by=["id"], batch_id="1")
+    one = df.where("id = 7")
+    probed = store.probed("main", one, vec="vec", nprobe=1)
+    probed.explain("formatted")
+    filters = [line for line in capsys.readouterr().out.splitlines() if line.startswith("PartitionFilters")]
+    assert any("cell" in line for line in filters)
+    (cell,) = [r.cell for r in probed.select("cell").distinct().collect()]
+    assert probed.count() == store.vectors("main").where(F.col("cell") == cell).count() < len(clouds)
+    hits = store.search("main", df, query_id="id", k=3, nprobe=5).select("query_id", "rank", "id", "score")
+    pos = {r.id: n for n, r in enumerate(df.select("id").orderBy("id").collect())}
+    exact = vectors.search(df, df, id="id", vec="vec", query_id="id", k=3, metric="l2")
+    assert {(r.query_id, r["rank"], r.id) for r in hits.collect()} == {(r.query_id, r["rank"], pos[r.id]) for r in exact.collect()}
+    # Writing the batch again changes nothing; a second batch goes behind it.
+    assert store.add("main", df, order_by=["id"], batch_id="1") == len(clouds)
+    assert store.add("main", df.limit(3), order_by=["id"], batch_id="2") == len(clouds) + 3
+    assert sorted(r.pos for r in store.vectors("main").collect()) == list(range(len(clouds) + 3))
