@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from marlstone.plans.durable import durable
 from marlstone.plans.joins import attach
+from marlstone.plans.positions import with_position
 
 DEFAULT_RELATION = "related"
 
@@ -81,6 +82,10 @@ def _steps(edges: DataFrame) -> DataFrame:
     return edges.select("src", "dst", place.alias("place")).distinct()
 
 
+HUB_EDGES = 20_000
+LEVELS_AT_ONCE = 6
+
+
 def _hops(max_hops: int | None):
     return itertools.count(1) if max_hops is None else range(1, max_hops + 1)
 
@@ -100,15 +105,34 @@ def distances(edges: DataFrame, sources: DataFrame, *, max_hops: int | None = No
     return visited
 
 
+def _split_steps(edges: DataFrame, hub_edges: int) -> tuple[DataFrame, DataFrame]:
+    """Steps with the ``part`` of their source they belong to, and the sources (``node``) that have several ``parts``."""
+    steps = durable(_steps(edges))
+    degrees = steps.groupBy(F.col("src").alias("node")).agg(F.ceil(F.count(F.lit(1)) / hub_edges).cast("int").alias("parts"))
+    hubs = durable(degrees.where("parts > 1"))
+    named = steps.withColumnRenamed("src", "node")
+    part = F.pmod(F.xxhash64("dst"), F.coalesce("parts", F.lit(1))).cast("int")
+    return durable(attach(named, hubs, ["node"]).select("node", part.alias("part"), "dst", "place")), hubs
+
+
 def shortest_paths(
-    nodes: DataFrame, edges: DataFrame, pairs: DataFrame, *, max_hops: int | None = None
+    nodes: DataFrame,
+    edges: DataFrame,
+    pairs: DataFrame,
+    *,
+    max_hops: int | None = None,
+    hub_edges: int = HUB_EDGES,
 ) -> DataFrame:
     """Fewest-hop paths for ``pairs(pair_id, source, target)``: status, length and path.
 
-    Status is ``found``, ``no path``, ``missing`` when an endpoint is not declared, or
-    ``beyond bound`` when a given ``max_hops`` ended the search before all was reached. Among equally short paths the one met first in edge order wins:
-    the places of a path's edges, compared in turn, are exactly breadth-first order.
-    Each hop is one join and one combined aggregate, written to the shared folder.
+    Status is ``found``, ``no path``, ``missing`` when an endpoint is not declared, or ``beyond bound`` when a given
+    ``max_hops`` ended the search before all was reached. Among equally short paths the one that a breadth-first
+    search in edge order meets first wins.
+
+    A level is a table of nodes with their parents and their places in the order of the search; a node met from several
+    parents stays with the one placed first. Paths do not travel with the search: at its end they are put together
+    from the parents, one join of the found pairs per level. A node of more than ``hub_edges`` edges is
+    searched in parts, so that neither its edges nor the pairs that stand on it meet in one task.
     """
     declared = nodes.select(F.col("id").alias("node")).distinct()
     ends = pairs.select("pair_id", "source", "target")
@@ -120,46 +144,35 @@ def shortest_paths(
             "pair_id", "source", "target", (F.col("has_source") & F.col("has_target")).alias("ok")
         )
     )
-    steps = durable(_steps(edges))
-    order = f"array<{steps.schema['place'].dataType.simpleString()}>"
-    frontier = durable(
+    steps, hubs = _split_steps(edges, hub_edges)
+    none = F.lit(None).cast(steps.schema["node"].dataType)
+    level = durable(
         ends.where("ok").select(
-            "pair_id",
-            "target",
-            F.col("source").alias("node"),
-            F.array().cast(order).alias("places"),
-            F.array("source").alias("path"),
+            "pair_id", "target", F.col("source").alias("node"), none.alias("parent"), F.lit(0).cast("long").alias("nth")
         )
     )
-    levels = [frontier]
-    visited = frontier.select("pair_id", "node")
-    for _ in _hops(max_hops):
-        open_pairs = frontier.where("node <> target").join(
-            frontier.where("node = target").select("pair_id"), "pair_id", "left_anti"
-        )
-        reached = (
-            open_pairs.join(steps, F.col("node") == F.col("src"))
-            .groupBy("pair_id", "target", F.col("dst").alias("node"))
-            .agg(
-                F.min(
-                    F.struct(
-                        F.array_append("places", F.col("place")).alias("places"),
-                        F.array_append("path", F.col("dst")).alias("path"),
-                    )
-                ).alias("best")
-            )
-            .select("pair_id", "target", "node", "best.places", "best.path")
-        )
-        frontier = durable(reached.join(visited, ["pair_id", "node"], "left_anti").select(*frontier.columns))
-        if not frontier.take(1):
+    levels = [level]
+    visited = level.select("pair_id", "node")
+    for hop in _hops(max_hops):
+        done = level.where("node = target").select("pair_id")
+        open_pairs = attach(level.join(done, "pair_id", "left_anti"), hubs, ["node"])
+        parts = F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)
+        met = open_pairs.withColumn("part", F.explode(parts)).join(steps, ["node", "part"])
+        first = F.min(F.struct("nth", "place", "node")).alias("first")
+        reached = met.groupBy("pair_id", "target", "dst").agg(first)
+        reached = reached.select("pair_id", "target", F.col("dst").alias("node"), "first.nth", "first.place", F.col("first.node").alias("parent"))
+        fresh = durable(reached.join(visited, ["pair_id", "node"], "left_anti"))
+        if fresh.isEmpty():
+            level = fresh
             break
-        levels.append(frontier)
-        visited = visited.unionByName(frontier.select("pair_id", "node"))
-    unfinished = frontier.where("node <> target").select("pair_id", F.lit(True).alias("cut")).distinct()
-    found = [level.where("node = target").select("pair_id", "path") for level in levels]
-    paths = found[0]
-    for more in found[1:]:
-        paths = paths.unionByName(more)
+        placed = with_position(fresh, keys=["pair_id"], order_by=["nth", "place", "node"], name="at")
+        level = durable(placed.select("pair_id", "target", "node", "parent", F.col("at").alias("nth")))
+        levels.append(level)
+        visited = visited.unionByName(level.select("pair_id", "node"))
+        if hop % LEVELS_AT_ONCE == 0:
+            visited = durable(visited)
+    unfinished = level.where("node <> target").select("pair_id", F.lit(True).alias("cut")).distinct()
+    paths = _paths(levels)
     status = (
         F.when(F.coalesce("ok", F.lit(False)) == F.lit(False), "missing")
         .when(F.col("path").isNull() & F.col("cut"), "beyond bound")
@@ -174,3 +187,16 @@ def shortest_paths(
         F.when(F.col("path").isNotNull(), F.size("path") - 1).alias("length"),
         "path",
     )
+
+
+def _paths(levels: list[DataFrame]) -> DataFrame:
+    """``pair_id`` and ``path`` of the pairs whose target is in a level, followed back from parent to parent."""
+    back = None
+    for number, level in reversed(list(enumerate(levels))):
+        ends = level.where("node = target").select("pair_id", F.col("parent").alias("at"), F.array("node").alias("path"))
+        if back is not None:
+            own = level.select("pair_id", F.col("node").alias("at"), "parent")
+            before = back.join(own, ["pair_id", "at"])
+            ends = ends.unionByName(before.select("pair_id", F.col("parent").alias("at"), F.concat(F.array("at"), "path").alias("path")))
+        back = durable(ends) if number % LEVELS_AT_ONCE == 0 else ends
+    return back.select("pair_id", "path")

@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from marlstone.operators import graph, metrics
 from marlstone.sources.graphs import GraphStore
@@ -124,10 +125,24 @@ def test_shortest_paths(spark, net):
 
 
 def test_long_paths_need_no_bound(spark):
-    chain = [f"n{i:02d}" for i in range(13)]
+    chain = [f"n{i:02d}" for i in range(31)]
     edges = spark.createDataFrame([(a, b, i) for i, (a, b) in enumerate(zip(chain, chain[1:], strict=False))], "src string, dst string, seq long")
     nodes = spark.createDataFrame([(n,) for n in chain], "id string")
-    assert walk(spark, (nodes, graph.add_edges(None, edges)), [("n00", "n12")]) == [("found", 12, chain)]
+    assert walk(spark, (nodes, graph.add_edges(None, edges)), [("n00", "n30"), ("n05", "n07"), ("n07", "n05")]) == [
+        ("found", 30, chain), ("found", 2, chain[5:8]), ("no path", None, None),
+    ]
+
+
+def test_hub_is_searched_in_parts(spark):
+    spokes = spark.range(100_000).select(F.lit("hub").alias("src"), F.format_string("s%06d", "id").alias("dst"), F.col("id").alias("seq"))
+    more = spark.createDataFrame([("a", "hub", 200_000), ("s000007", "z", 200_001), ("s000003", "z", 200_002), ("z", "y", 200_003)], spokes.schema)
+    edges = graph.add_edges(None, spokes.unionByName(more))
+    nodes = edges.select(F.col("src").alias("id")).union(edges.select("dst")).distinct()
+    steps, hubs = graph._split_steps(edges, 20_000)
+    assert hubs.collect() == [("hub", 5)]
+    assert {r.part for r in steps.where("node = 'hub'").select("part").distinct().collect()} == set(range(5))
+    found = walk(spark, (nodes, edges), [("a", "y"), ("hub", "s099999"), ("y", "hub")])
+    assert found == [("found", 4, ["a", "hub", "s000003", "z", "y"]), ("found", 1, ["hub", "s099999"]), ("no path", None, None)]
 
 
 def test_distances(spark, net):
