@@ -9,6 +9,7 @@ from marlstone.functions.arrays import let
 from marlstone.functions.text import WORD_RUN
 from marlstone.operators import inference, metrics, tabular
 from marlstone.plans.durable import scratch_path
+from marlstone.sources.models import ModelStore
 from marlstone.streaming import streams
 from marlstone.workload import derived
 from marlstone.workload.evaluation import LATEST_SQL
@@ -125,8 +126,10 @@ def reg_linear(spark, folder):
 
 @query("batch_predict", LINE_SQL + "SELECT p_partkey, round(p, 3) AS predicted FROM scored")
 def batch_predict(spark, folder):
-    model, _ = _line(spark, folder)
-    scored = tabular.predict(model, table(spark, folder, "part"))
+    """By a model that one store object saved and another finds by its name."""
+    root = scratch_path(spark, "models")
+    ModelStore(spark, root).save("price", _line(spark, folder)[0])
+    scored = ModelStore(spark, root).predict("price", table(spark, folder, "part"))
     return scored.select("p_partkey", F.round("predicted", 3).alias("predicted"))
 
 

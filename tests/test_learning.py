@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from marlstone.operators import inference, profile, tabular
 from marlstone.sources import datasets
+from marlstone.sources.models import ModelStore
 from marlstone.streaming import streams
 
 
@@ -42,6 +43,33 @@ def test_regressors_beat_the_mean(points, algorithm):
     assert out.r2 > (0.999 if algorithm == "linear" else 0.6)
 
 
+def files_below(path):
+    return sorted(str(p) for p in path.rglob("*.parquet"))
+
+
+def test_saved_models_serve_another_session(spark, points, tmp_path):
+    store = ModelStore(spark, str(tmp_path / "models"))
+    forest, _ = tabular.train(points, **CLASSIFY, trees=3, depth=3)
+    line, _ = tabular.train(points, **REGRESS, algorithm="linear")
+    for name, model in (("shape", line), ("shape", forest), ("line", line)):
+        store.save(name, model)
+    other = spark.newSession()
+    again = ModelStore(other, str(tmp_path / "models"))
+    rows = other.createDataFrame(points.select("id", *forest.features).collect(), points.select("id", *forest.features).schema)
+    for name, model in (("shape", forest), ("line", line)):
+        want = {r.id: r.predicted for r in tabular.predict(model, points).collect()}
+        loaded = again.load(name)
+        assert (loaded.features, loaded.target, loaded.task, loaded.algorithm) == (model.features, model.target, model.task, model.algorithm)
+        source = rows if set(model.features) <= set(rows.columns) else points
+        assert {r.id: r.predicted for r in again.predict(name, source).collect()} == want
+    assert {(r.name, r.task) for r in again.list().collect()} == {("shape", "classification"), ("line", "regression")}
+    before = len(files_below(tmp_path))
+    again.delete("shape")
+    assert [r.name for r in store.list().collect()] == ["line"] and len(files_below(tmp_path)) < before
+    with pytest.raises(ValueError, match="no model"):
+        store.predict("shape", points)
+
+
 def test_prediction_fills_and_checks(points):
     model, _ = tabular.train(points, **REGRESS, algorithm="linear")
     gaps = points.limit(3).withColumns({"x": F.lit(None).cast("double"), "y": F.lit(None).cast("double")})
