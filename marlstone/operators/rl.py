@@ -57,7 +57,11 @@ def returns(
 
 
 def _suffix_sums(items: DataFrame, episode: str, last: int, block: int) -> DataFrame:
-    """``s_i = v_i + w_i * s_(i+1)`` for items ``(episode, at, v, w, row)``, ``at <= last``."""
+    """``s_i = v_i + w_i * s_(i+1)`` for items ``(episode, at, v, w, row)``, ``at <= last``.
+
+    An item is an affine map of what follows. Within a block the maps are composed by a suffix scan that doubles its
+    reach each turn; blocks are items of the next level.
+    """
     blocks = items.groupBy(episode, F.expr(f"at div {block}").alias("b")).agg(
         F.array_sort(F.collect_list(F.struct("at", "v", "w", "row"))).alias("items")
     )
@@ -84,26 +88,30 @@ def _suffix_sums(items: DataFrame, episode: str, last: int, block: int) -> DataF
             "carry", F.coalesce("carry", F.lit(0.0))
         )
 
-    def fold(block_row: Column) -> Column:
-        size = F.size(block_row["items"])
-        start = F.struct(block_row["carry"].alias("s"), F.array().cast("array<double>").alias("out"))
-
-        def step(a: Column, x: Column) -> Column:
-            value = x["v"] + x["w"] * a["s"]
-            return F.struct(value.alias("s"), F.array_append(a["out"], value).alias("out"))
-
-        backwards = F.aggregate(F.reverse(block_row["items"]), start, step, lambda a: a["out"])
-        return let(
-            backwards,
-            lambda out: F.transform(
-                block_row["items"],
-                lambda x, i: F.struct(
-                    x["at"].alias("at"), F.get(out, size - 1 - i).alias("s"), x["row"].alias("row")
-                ),
-            ),
+    def scanned(pair: Column) -> Column:
+        maps = F.transform(pair["items"], lambda x: F.struct(x["v"].alias("v"), x["w"].alias("w")))
+        for k in range((block - 1).bit_length()):
+            maps = let(maps, _doubled(1 << k))
+        values = F.transform(maps, lambda m: m["v"] + m["w"] * pair["carry"])
+        return F.zip_with(
+            pair["items"], values, lambda x, s: F.struct(x["at"].alias("at"), s.alias("s"), x["row"].alias("row"))
         )
 
-    return carried.select(episode, F.inline(let(F.struct("items", "carry"), fold)))
+    return carried.select(episode, F.inline(let(F.struct("items", "carry"), scanned)))
+
+
+def _doubled(reach: int):
+    """One turn of a suffix scan: maps that cover ``reach`` items take in those of the next ``reach``."""
+
+    def turn(maps: Column) -> Column:
+        def both(m: Column, i: Column) -> Column:
+            after = F.get(maps, i + F.lit(reach))
+            v, w = F.coalesce(after["v"], F.lit(0.0)), F.coalesce(after["w"], F.lit(1.0))
+            return F.struct((m["v"] + m["w"] * v).alias("v"), (m["w"] * w).alias("w"))
+
+        return F.transform(maps, both)
+
+    return turn
 
 
 def totals(df: DataFrame, *, episode: str, reward: str) -> DataFrame:
