@@ -16,7 +16,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marlstone.functions.arrays import let
 from marlstone.llm.graphs import sized
+from marlstone.llm.memo import turn_to
 from marlstone.llm.textarrays import mix
 from marlstone.plans.durable import durable
 
@@ -74,6 +76,7 @@ def _near(docs: DataFrame, firsts: DataFrame, least: int) -> DataFrame:
     known = durable(lines.join(sized(likely), _KEY))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn_to("lines")
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -115,6 +118,7 @@ def repeated_lines(docs: DataFrame, *, least: int = LEAST) -> DataFrame:
     that repeat in both columns share their places, so neither repeats the other. Hot lines meet as one row per
     task; what is known of repeated lines is broadcast only after it was counted.
     """
+    docs = docs.select("doc_id", "text")
     lines = durable(_lines(docs, least).withColumn("halves", _halves()).drop("plain"))
     place = F.struct("doc_id", "rk", "line")
     firsts = durable(lines.groupBy(*_KEY).agg(
@@ -134,16 +138,27 @@ def repeated_lines(docs: DataFrame, *, least: int = LEAST) -> DataFrame:
 def drop_repeated(docs: DataFrame, *, least: int = LEAST) -> DataFrame:
     """``docs`` with the repeated lines taken out of ``text`` and their number as ``lines_dropped``; rows stay as they are.
 
-    A document of which nothing stays has an empty text. An input column named ``lines_dropped`` is replaced.
+    A document of which nothing stays has an empty text. An input column named ``lines_dropped`` is replaced; other
+    columns pass through whatever their names.
     """
     gone = repeated_lines(docs, least=least)
+    key, own = (_free(docs, n) for n in ("__rk", "__gone"))
     # A document's list is at most as long as its lines.
-    lists = durable(gone.groupBy(F.col("rk").alias("__rk")).agg(F.collect_set("line").alias("__gone")))
+    lists = durable(gone.groupBy(F.col("rk").alias(key)).agg(F.collect_set("line").alias(own)))
     plain = docs.drop("lines_dropped")
-    joined = plain.join(sized(lists), row_key() == F.col("__rk"), "left")
-    kept = F.filter(F.split("text", "\n"), lambda _, at: ~F.array_contains("__gone", at))
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    dropped = F.coalesce(F.size("__gone"), F.lit(0))
-    return joined.withColumns({"text": text, "lines_dropped": F.when(F.col("__gone").isNull(), 0).otherwise(dropped)}).select(
-        *plain.columns, "lines_dropped"
-    )
+    joined = plain.join(sized(lists), row_key() == F.col(key), "left")
+
+    def left(lines: Column) -> Column:
+        # The places that stay, by a hash set: linear in the lines of a text.
+        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(own))
+        return F.array_join(F.transform(stay, lambda at: F.get(lines, at)), "\n")
+
+    text = F.when(F.col(own).isNull(), F.col("text")).otherwise(let(F.split("text", "\n"), left))
+    dropped = F.coalesce(F.when(F.col(own).isNotNull(), F.size(own)), F.lit(0))
+    return joined.withColumns({"text": text, "lines_dropped": dropped}).select(*plain.columns, "lines_dropped")
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    while name in docs.columns:
+        name += "_"
+    return name
