@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from marlstone.llm.memo import Memo
+from marlstone.llm.memo import Memo, turn_to
 from marlstone.llm.textarrays import bounded
 
 REMEMBERED_BYTES = 48_000_000
@@ -145,15 +145,9 @@ def _taken(flat: np.ndarray, sizes: np.ndarray, numbers: np.ndarray) -> np.ndarr
     return flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin[numbers] - ends + many, many)]
 
 
-_encoders: dict[tuple[str, bool], PieceEncoder] = {}
-
-
 def encoder(path: str, keep_space: bool) -> PieceEncoder:
     """One encoder per Python worker, so that what it remembers serves all its tasks."""
-    if (path, keep_space) not in _encoders:
-        _encoders.clear()
-        _encoders[path, keep_space] = PieceEncoder(path, keep_space)
-    return _encoders[path, keep_space]
+    return turn_to(("token ids", path, keep_space), lambda: PieceEncoder(path, keep_space))
 
 
 def id_arrays(column: pa.Array, path: str, keep_space: bool, end: int) -> Iterator[np.ndarray]:

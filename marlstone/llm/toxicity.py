@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marlstone.llm.memo import Memo
+from marlstone.llm.memo import Memo, turn_to
 from marlstone.plans.durable import durable
 
 DECAY = 0.6
@@ -212,15 +212,10 @@ def _joined(tokens: list[str], records: list[bytes]) -> list[str]:
     return words
 
 
-_readers: dict[tuple[str, ...], Reader] = {}
-
-
 def reader(landmarks: Sequence[str]) -> Reader:
+    """One reader per Python worker, so that what it remembers serves all its tasks."""
     key = tuple(landmarks)
-    if key not in _readers:
-        _readers.clear()
-        _readers[key] = Reader(key)
-    return _readers[key]
+    return turn_to(("toxicity", key), lambda: Reader(key))
 
 
 class Model:

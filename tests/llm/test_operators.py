@@ -13,6 +13,7 @@ from oracle import difference
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+import corpus_pipeline
 from marlstone.llm import (
     chunk_dedup,
     decontaminate,
@@ -208,6 +209,19 @@ def test_line_dedup(spark, odd, empty):
     assert line_dedup.drop_repeated(empty).count() == 0
 
 
+def test_many_lines_in_one_text(spark):
+    other = [f"line number {k * k} of a long text" for k in range(3_000)]
+    long = "\n".join(["the same long line again and again"] * 60_000 + other)
+    rows = [(1, long, "a", "b", 7), (2, "short\n" + other[5] + "\nkept here", "a", "b", 7), (3, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __gone string, __rk string, lines_dropped int")
+    cleaned = line_dedup.drop_repeated(docs)
+    assert cleaned.columns == docs.columns
+    got = {r["doc_id"]: r for r in cleaned.collect()}
+    assert got[1]["text"].split("\n")[0] == "the same long line again and again" and got[1]["lines_dropped"] >= 59_999
+    assert (got[2]["text"], got[2]["lines_dropped"], got[2]["__gone"]) == ("short\nkept here", 1, "a")
+    assert (got[3]["text"], got[3]["lines_dropped"]) == (None, 0)
+
+
 def brute_components(texts, size, percent):
     """Set size, component and number of links of every text."""
 
@@ -528,3 +542,20 @@ def test_registered():
     names = set(entry.queries())
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
     assert Path(queries.__file__).parent.name == "llm"
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_pipeline_stage_takes_odd_rows(spark, odd, empty, folder, name):
+    stage = dict(corpus_pipeline.STAGES)[name]
+    out = stage(spark, odd, folder)
+    rows = out.collect()
+    if name == corpus_pipeline.STAGES[-1][0]:
+        assert sum(r["piece"] == 0 for r in rows) == odd.count()
+    else:
+        assert out.columns == odd.columns
+        before, after = Counter(map(tuple, odd.select("doc_id", "lang", "shard", "score", "offset").collect())), Counter(tuple(r[c] for c in ("doc_id", "lang", "shard", "score", "offset")) for r in rows)
+        assert not after - before
+        assert {0, 1, 2, None} <= {r["doc_id"] for r in rows}  # texts without words, and rows without an id
+        copies = sum(r["doc_id"] == 3 for r in rows)
+        assert copies == (1 if name == "near_duplicates" else 3)
+    assert stage(spark, empty, folder).count() == 0
