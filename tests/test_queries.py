@@ -6,7 +6,7 @@ from oracle import difference
 import __spark_entry__ as entry
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
-# Long fits; their operators are tested with fewer trees in test_tabular.py.
+# Long fits; their operators are tested with fewer trees in test_learning.py.
 LONG = {"clf_gbt", "reg_gbt", "cross_validate", "clf_logistic"}
 
 
