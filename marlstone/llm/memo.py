@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-import ctypes
-import gc
 from collections.abc import Callable, Hashable, Sequence
 from typing import Any
 
-import pyarrow as pa
-
 # About what a dictionary entry takes besides the characters of its key and its record.
 ENTRY_BYTES = 200
 
@@ -53,16 +49,10 @@ _kept: dict[Hashable, Any] = {}
 def turn_to(work: Hashable, make: Callable[[], Any] | None = None) -> Any:
     """What this Python worker keeps for ``work``, made when it turns to it.
 
-    Workers outlive their stage. One that turns to other work drops what it kept for the work before and gives its
-    memory back, so that the stages of a pipeline do not add up in it.
+    Workers outlive their stage. One that turns to other work drops what it kept for the work before, so that the
+    stages of a pipeline do not add up in it.
     """
     if work not in _kept:
         _kept.clear()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (AttributeError, OSError):
-            pass  # only glibc can be asked
         _kept[work] = make() if make else None
     return _kept[work]
