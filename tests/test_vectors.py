@@ -334,3 +334,17 @@ def test_index_reads_only_probed_lists(spark, tmp_path, clouds, capsys):
     assert store.add("main", df, order_by=["id"], batch_id="1") == len(clouds)
     assert store.add("main", df.limit(3), order_by=["id"], batch_id="2") == len(clouds) + 3
     assert sorted(r.pos for r in store.vectors("main").collect()) == list(range(len(clouds) + 3))
+
+
+@pytest.mark.parametrize("name, metric", [("knn_ip", "ip"), ("knn_l2", "l2")])
+def test_searches_ask_with_every_fiftieth_row(spark, folder, name, metric):
+    from marlstone.workload import registered
+
+    rows = sorted(spark.read.parquet(f"{folder}/embeddings.parquet").collect(), key=lambda r: r.vec_id)
+    rows = [r for r in rows if r.embedding is not None]
+    ids = np.array([r.vec_id for r in rows])
+    base = np.array([r.embedding for r in rows], dtype=np.float64)
+    asked = np.flatnonzero(ids % 50 == 0)
+    want = brute(base, base[asked], 5, metric)
+    hits = found(registered().queries[name](spark, folder))
+    assert hits == {int(ids[asked[q]]): [int(ids[i]) for i in near] for q, near in want.items()}
