@@ -302,7 +302,7 @@ def classify_docs(spark, folder):
 def zero_shot(spark, folder):
     """Languages as candidate labels, each described by all its texts."""
     docs = texts(spark, folder, "documents")
-    found = text.zero_shot(docs, docs.select(F.col("lang").alias("label"), F.col("text").alias("description")), key="doc_id", text_col="text")
+    found = text.zero_shot(docs, key="doc_id", text_col="text", label_col="lang")
     return found.withColumn("score", F.round("score", 6))
 
 

@@ -176,6 +176,18 @@ def test_zero_shot_scores_add_up(spark):
     assert [r.score for r in rows if r.id == 3] == [0.5, 0.5]
 
 
+
+def test_zero_shot_labels_of_own_rows(spark):
+    docs = spark.createDataFrame(
+        [(1, "cats purr softly", "cat"), (2, "dogs bark loudly", "dog"), (3, None, "dog"), (4, "dogs and cats", None),
+         (5, "", "bird")],
+        "id long, t string, lang string",
+    )
+    labels = docs.select(F.col("lang").alias("label"), F.col("t").alias("description"))
+    given = sorted(map(tuple, text.zero_shot(docs, labels, key="id", text_col="t").collect()))
+    own = sorted(map(tuple, text.zero_shot(docs, key="id", text_col="t", label_col="lang").collect()))
+    assert own == given and len(own) == 15
+
 # Pairs from the published description of the algorithm.
 STEMS = """caresses caress ponies poni cats cat feed feed agreed agre plastered plaster bled bled motoring motor
 sing sing conflated conflat troubled troubl sized size hopping hop tanned tan falling fall hissing hiss fizzed fizz
