@@ -298,3 +298,27 @@ def test_top_predictions(spark):
     )
     got = prep.top_predictions(df, key=["id"], label="label", score="score", k=1, threshold=0.5)
     assert {(r.id, r.label) for r in got.collect()} == {(1, "a"), (2, "a")}
+
+
+def test_search_reads_the_lists_of_asked_words_only(spark):
+    import os
+
+    from marlstone.plans.durable import shared_folder
+
+    df = spark.createDataFrame(list(SEARCHED.items()), "id string, t string").repartition(3)
+    asked = spark.createDataFrame(ASKED, "q int, t string")
+    index = lexical.TextIndex.build(df, key="id", text_col="t")
+    vectors = index.vectors(asked, key="q", text_col="t")
+    words = {r.term for r in vectors.select("term").collect()}
+    postings = {(r.id, r.term, r.impact) for r in index.postings.collect()}
+    folder = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    found = index.search(vectors, k=2).collect()
+    assert found and {r.id for r in found} <= set(SEARCHED)
+    read = [
+        {(r.id, r.term, r.impact) for r in spark.read.parquet(f"{folder}/{t}").collect()}
+        for t in set(os.listdir(folder)) - before
+        if spark.read.parquet(f"{folder}/{t}").columns == ["term", "id", "impact"]
+    ]
+    assert {p for p in postings if p[1] in words} in read
+    assert {p for p in postings if p[1] not in words}
