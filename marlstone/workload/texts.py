@@ -113,12 +113,11 @@ def _lexicon(spark, folder):
     clean, bad = labelled.agg(
         F.count_if(F.col("toxic") == 0), F.count_if(F.col("toxic") == 1)
     ).first()
+    # Each labelled row's distinct words; their counts inside the row are not needed.
     seen = (
-        lexical.word_counts(labelled.withColumn("both", F.struct("doc_id", "toxic")), key="both", text_col="text")
+        labelled.select("toxic", F.explode(F.array_distinct(lexical.words(F.col("text")))).alias("term"))
         .groupBy("term")
-        .agg(
-            F.count_if(F.col("id.toxic") == 0).alias("c"), F.count_if(F.col("id.toxic") == 1).alias("b")
-        )
+        .agg(F.count_if(F.col("toxic") == 0).alias("c"), F.count_if(F.col("toxic") == 1).alias("b"))
     )
     return seen.select(F.col("term").alias("token"), F.signum(F.col("c") * bad - F.col("b") * clean).cast("int").alias("weight"))
 

@@ -92,6 +92,19 @@ def test_polarity_labels(spark):
     }
 
 
+def test_polarity_sorts_words_in_compiled_code(spark):
+    df = spark.createDataFrame(
+        [(1, "Good good so-so BAD good"), (2, None), (3, "so so"), (4, "ünd good")], "id long, t string"
+    )
+    lexicon = spark.createDataFrame([("good", 1), ("bad", -1), ("so", 0)], "token string, weight int")
+    scored = text.polarity(df, lexicon, key="id", text_col="t")
+    got = {r.id: (r.label, r.score) for r in scored.collect()}
+    assert got == {
+        1: ("positive", pytest.approx(2 / 6)), 2: ("neutral", 0.0), 3: ("neutral", 0.0), 4: ("positive", 0.5)
+    }
+    assert "array_sort" not in scored._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_summary_respects_the_budget(spark):
     sentence = "Word{0} common words here."
     value = " ".join(sentence.format(c) for c in "abcdefgh")
