@@ -350,3 +350,17 @@ def test_searches_ask_with_every_fiftieth_row(spark, folder, name, metric):
     # knn_ivf names base rows by their place in vec_id order.
     named = (lambda i: int(i)) if name == "knn_ivf" else (lambda i: int(ids[i]))
     assert hits == {int(ids[asked[q]]): [named(i) for i in near] for q, near in want.items()}
+
+
+def test_collection_query_asks_with_every_fiftieth_row(spark, folder):
+    from marlstone.workload import registered
+
+    rows = [r for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect() if r.embedding is not None]
+    base = sorted((r for r in rows if r.label is not None and r.label >= 3 and r.label != 7), key=lambda r: r.vec_id)
+    vecs = np.array([r.embedding for r in base], dtype=np.float64)
+    want = {}
+    for q in (r for r in rows if r.vec_id % 50 == 0):
+        far = ((vecs - np.array(q.embedding, dtype=np.float64)) ** 2).sum(1)
+        near = sorted(range(len(base)), key=lambda i: (round(far[i], 9), base[i].vec_id))[:5]
+        want[f"q{q.vec_id}"] = [f"v{base[i].vec_id:012d}" for i in near]
+    assert found(registered().queries["collection_query"](spark, folder)) == want
