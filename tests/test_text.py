@@ -335,3 +335,11 @@ def test_search_reads_the_lists_of_asked_words_only(spark):
     ]
     assert {p for p in postings if p[1] in words} in read
     assert {p for p in postings if p[1] not in words}
+
+
+def test_embed_sorts_in_compiled_code(spark):
+    df = spark.createDataFrame([(1, "b a b c"), (2, None), (3, "")], "id long, t string")
+    out = lexical.embed(df, key="id", text_col="t", dim=16)
+    cells = {r.id: [c.cell for c in r.cells] for r in out.collect()}
+    assert cells[2] == [] and cells[3] == [] and cells[1] == sorted(cells[1]) and cells[1]
+    assert "array_sort" not in out._jdf.queryExecution().optimizedPlan().toString()
