@@ -336,7 +336,7 @@ def test_index_reads_only_probed_lists(spark, tmp_path, clouds, capsys):
     assert sorted(r.pos for r in store.vectors("main").collect()) == list(range(len(clouds) + 3))
 
 
-@pytest.mark.parametrize("name, metric", [("knn_ip", "ip"), ("knn_l2", "l2"), ("knn_ivf", "ip")])
+@pytest.mark.parametrize("name, metric", [("knn_l2", "l2"), ("knn_ivf", "ip")])
 def test_searches_ask_with_every_fiftieth_row(spark, folder, name, metric):
     from marlstone.workload import registered
 
@@ -364,3 +364,20 @@ def test_collection_query_asks_with_every_fiftieth_row(spark, folder):
         near = sorted(range(len(base)), key=lambda i: (round(far[i], 9), base[i].vec_id))[:5]
         want[f"q{q.vec_id}"] = [f"v{base[i].vec_id:012d}" for i in near]
     assert found(registered().queries["collection_query"](spark, folder)) == want
+
+
+@pytest.mark.parametrize("name, metric", [("knn_ip", "ip")])
+def test_searches_ask_with_every_row(spark, tmp_path, name, metric):
+    from marlstone.workload import registered
+
+    vecs = np.random.default_rng(11).normal(size=(120, 64)).astype(np.float32)
+    # Ids with gaps, only two of them divisible by 50.
+    ids = [3 * i + 1 for i in range(120)]
+    rows = spark.createDataFrame(
+        [(i, i % 10, [float(x) for x in v]) for i, v in zip(ids, vecs)], "vec_id long, label int, embedding array<float>"
+    )
+    rows.write.parquet(f"{tmp_path}/embeddings.parquet")
+    want = brute(vecs.astype(np.float64), vecs.astype(np.float64), 5, metric)
+    # knn_ivf names base rows by their place in vec_id order.
+    named = (lambda i: i) if name == "knn_ivf" else (lambda i: ids[i])
+    assert found(registered().queries[name](spark, str(tmp_path))) == {ids[q]: [named(i) for i in near] for q, near in want.items()}
