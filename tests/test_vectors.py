@@ -336,20 +336,6 @@ def test_index_reads_only_probed_lists(spark, tmp_path, clouds, capsys):
     assert sorted(r.pos for r in store.vectors("main").collect()) == list(range(len(clouds) + 3))
 
 
-def test_collection_query_asks_with_every_fiftieth_row(spark, folder):
-    from marlstone.workload import registered
-
-    rows = [r for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect() if r.embedding is not None]
-    base = sorted((r for r in rows if r.label is not None and r.label >= 3 and r.label != 7), key=lambda r: r.vec_id)
-    vecs = np.array([r.embedding for r in base], dtype=np.float64)
-    want = {}
-    for q in (r for r in rows if r.vec_id % 50 == 0):
-        far = ((vecs - np.array(q.embedding, dtype=np.float64)) ** 2).sum(1)
-        near = sorted(range(len(base)), key=lambda i: (round(far[i], 9), base[i].vec_id))[:5]
-        want[f"q{q.vec_id}"] = [f"v{base[i].vec_id:012d}" for i in near]
-    assert found(registered().queries["collection_query"](spark, folder)) == want
-
-
 @pytest.mark.parametrize("name, metric", [("knn_ip", "ip"), ("knn_l2", "l2"), ("knn_ivf", "ip")])
 def test_searches_ask_with_every_row(spark, tmp_path, name, metric):
     from marlstone.workload import registered
@@ -365,3 +351,16 @@ def test_searches_ask_with_every_row(spark, tmp_path, name, metric):
     # knn_ivf names base rows by their place in vec_id order.
     named = (lambda i: i) if name == "knn_ivf" else (lambda i: ids[i])
     assert found(registered().queries[name](spark, str(tmp_path))) == {ids[q]: [named(i) for i in near] for q, near in want.items()}
+
+
+def test_collection_query_asks_with_every_row(spark, tmp_path):
+    from marlstone.workload import registered
+
+    vecs = np.random.default_rng(12).normal(size=(120, 64)).astype(np.float32).astype(np.float64)
+    # Ids with gaps, only two of them divisible by 50.
+    rows = [(3 * i + 1, i % 10, [float(x) for x in v]) for i, v in enumerate(vecs)]
+    spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    kept = [i for i in range(120) if i % 10 >= 3 and i % 10 != 7]
+    near = brute(vecs[kept], vecs, 5, "l2")
+    want = {f"q{3 * q + 1}": [f"v{3 * kept[i] + 1:012d}" for i in hits] for q, hits in near.items()}
+    assert found(registered().queries["collection_query"](spark, str(tmp_path))) == want
