@@ -280,6 +280,37 @@ def test_large_group_of_near_copies(spark, monkeypatch, block_rows):
     assert found_groups(docs, 2, 85) == brute_components(texts, 2, 85)
 
 
+@pytest.mark.parametrize("many", [8, 64])
+def test_near_copies_travel_few_times(spark, monkeypatch, many):
+    """Whole sets in blocks, or texts in groups, are sent about once per row, not once per common column or pair."""
+    monkeypatch.setattr(jaccard, "MANY", many)
+    rng = np.random.default_rng(4)
+    words = [f"w{k}" for k in range(120)]
+    texts = {}
+    for k in range(40):
+        own = list(words)
+        for _ in range(2):
+            own[rng.integers(0, 120)] = f"x{k}"
+        texts[k] = " ".join(own)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    sent = []
+
+    def counted(name, count):
+        plain = getattr(jaccard, name)
+
+        def call(*given):
+            out = plain(*given)
+            sent.append(count(out))
+            return out
+
+        monkeypatch.setattr(jaccard, name, call)
+
+    counted("_blocks", lambda blocks: sum(len(r["rows"]) // 8 for r in blocks.select("rows").collect()))
+    counted("_texts_of", lambda texts: texts.count())
+    assert found_groups(docs, 3, 80) == brute_components(texts, 3, 80)
+    assert max(sent) >= 40 and sum(sent) <= 4 * 40
+
+
 def test_overlaps_over_ranges(monkeypatch):
     monkeypatch.setattr(jaccard, "RANGE", 3)
     rng = np.random.default_rng(2)
