@@ -2,6 +2,7 @@
 
 import itertools
 import re
+import time
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -311,6 +312,25 @@ def test_near_copies_travel_few_times(spark, monkeypatch, many):
     assert max(sent) >= 40 and sum(sent) <= 4 * 40
 
 
+def test_written_tables_leave_no_shuffle_files(spark):
+    """A stage's tables replace the shuffle files they were made from, and the session's setting is as before."""
+    from marlstone.plans.durable import SHUFFLES_GO
+
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return sum(Path(d.getPath()).is_dir() and len(list(Path(d.getPath()).rglob("shuffle_*.data"))) for d in manager.localDirs())
+
+    before, told = shuffled(), spark.conf.get(SHUFFLES_GO, None)
+    table = durable(spark.range(1000).withColumn("k", F.col("id") % 7).repartition(4).groupBy("k").count())
+    for _ in range(50):  # files go a moment later
+        if shuffled() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= before and spark.conf.get(SHUFFLES_GO, None) == told
+    assert table.count() == 7
+
+
 def test_overlaps_over_ranges(monkeypatch):
     monkeypatch.setattr(jaccard, "RANGE", 3)
     rng = np.random.default_rng(2)
