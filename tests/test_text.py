@@ -343,3 +343,14 @@ def test_embed_sorts_in_compiled_code(spark):
     cells = {r.id: [c.cell for c in r.cells] for r in out.collect()}
     assert cells[2] == [] and cells[3] == [] and cells[1] == sorted(cells[1]) and cells[1]
     assert "array_sort" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_word_counts_of_odd_texts(spark):
+    rows = [(1, "One one TWO, \u00e9t\u00e9 e\u0301t e\u0301t  7_x"), (1, "one"), (None, "a"), (2, None), (3, ""), (4, " ,. "), (5, "\U0001d400b \u0130")]
+    df = spark.createDataFrame(rows, "id long, t string")
+    found = lexical.word_counts(df, key="id", text_col="t")
+    got = sorted((r.id or 0, r.term, r.n) for r in found.collect())
+    want = [(1, "one", 2), (1, "two", 1), (1, "\u00e9t\u00e9", 1), (1, "e\u0301t", 2), (1, "7_x", 1), (1, "one", 1), (0, "a", 1)]
+    want += [(5, "\U0001d400b", 1), (5, "i\u0307", 1)]
+    assert got == sorted(want)
+    assert "lambdafunction" not in found._jdf.queryExecution().toString()
