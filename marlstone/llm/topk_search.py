@@ -327,7 +327,7 @@ def search(vectors: DataFrame, is_query: Column, *, k: int) -> DataFrame:
     """
     facts = vectors.agg(
         F.coalesce(F.max(F.size("v")), F.lit(0)),
-        F.coalesce(F.max(F.array_max(F.transform("v", lambda c: F.greatest(c, -(c + 1))))), F.lit(0)),
+        F.coalesce(F.max(F.array_max(F.transform("v", lambda c: F.greatest(c, F.bitwise_not(c))))), F.lit(0)),
         F.count_if(is_query),
         F.count(F.lit(1)),
     ).first()
